@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import bpe, mixing, token_files
 
 
 def queries() -> dict:
-    return {"op1_mixing": mixing.query}
+    return {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op6_bpe": bpe.query}
 
 
 def oracle_sql() -> dict[str, str]:
