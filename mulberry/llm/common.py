@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -89,3 +90,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, rows: int = ROWS, most:
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package wherever the driver's code lies: it is sent as a zip file, once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_mulberry_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    folder = tempfile.mkdtemp(prefix="mulberry-code-")
+    with zipfile.ZipFile(f"{folder}/mulberry_code.zip", "w") as out:
+        for at, _, names in os.walk(os.path.join(top, "mulberry")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    out.write(full, os.path.relpath(full, top))
+    sc.addPyFile(f"{folder}/mulberry_code.zip")
+    sc._mulberry_shipped = True

@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
 from . import bpe, mixing, token_files
+from .common import ship
+
+_QUERIES = {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op6_bpe": bpe.query}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
-def queries() -> dict:
-    return {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op6_bpe": bpe.query}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _shipped(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
