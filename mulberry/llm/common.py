@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +82,7 @@ def raw(column: pa.Array) -> list[bytes | None]:
 def slices(batches: Iterator[pa.RecordBatch], text: int, rows: int = ROWS, most: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of few rows and few bytes of column number ``text``; a single text is never cut."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if i > start and (i - start >= rows or held + n > most):
