@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, token_files
+from . import bpe, media, mixing, token_files
 from .common import ship
 
-_QUERIES = {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op6_bpe": bpe.query}
+_QUERIES = {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op6_bpe": bpe.query, "op9_media": media.query}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
