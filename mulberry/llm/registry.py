@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, media, mixing, quality, token_files
+from . import bpe, language, media, mixing, quality, simhash, token_files
 from .common import ship
 
-_QUERIES = {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op5_language": language.query, "op6_bpe": bpe.query, "op8_quality": quality.query, "op9_media": media.query}
+_QUERIES = {"op1_mixing": mixing.query, "op3_token_files": token_files.query, "op5_language": language.query, "op6_bpe": bpe.query, "op7_simhash": simhash.query, "op8_quality": quality.query, "op9_media": media.query}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
