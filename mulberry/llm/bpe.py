@@ -277,19 +277,20 @@ def decode(coded: DataFrame, tokenizer_file: str) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
-def digests(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: ids and decoded text are made and hashed in one pass."""
+def digests(docs: DataFrame, tokenizer_file: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked for: made and hashed in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, store = compiled(tokenizer_file)
         for batch in slices(batches, 1):
             coded = store.ids(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(x) // 4 for x in coded], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in coded]),
-                pa.array([hashlib.sha256(automaton.decode(x).encode()).hexdigest() for x in coded])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = {
+                "doc_id": batch.column(0), "n_tokens": pa.array([len(x) // 4 for x in coded], pa.int64()), "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in coded]),
+                "decoded_sha256": pa.array([hashlib.sha256(automaton.decode(x).encode()).hexdigest() for x in coded])}
+            yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(coded, pa.binary())} if with_ids else {}))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
