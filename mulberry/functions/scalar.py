@@ -40,25 +40,30 @@ def to_datetime(c: Column, zone: str | None = None) -> Column:
 #: C-style date format codes and Spark's patterns for them.
 PATTERNS = {
     "%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%H": "HH", "%I": "hh", "%M": "mm", "%i": "mm", "%S": "ss", "%s": "ss", "%f": "SSSSSS",
-    "%p": "a", "%j": "DDD", "%b": "MMM", "%a": "EEE", "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%D": "MM/dd/yy", "%R": "HH:mm", "%%": "'%'",
+    "%p": "a", "%j": "DDD", "%b": "MMM", "%a": "EEE", "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%D": "MM/dd/yy", "%R": "HH:mm",
 }
 
 
 def spark_pattern(pattern: str) -> str:
     """C-style date pattern -> Spark's."""
-    out, i = [], 0
+    out, plain, i = [], "", 0
+
+    def quoted() -> str:
+        text = plain.replace("'", "''")
+        return f"'{text}'" if any(c.isalpha() for c in text) else text
+
     while i < len(pattern):
         code = pattern[i : i + 2]
-        if code in PATTERNS:
-            out.append(PATTERNS[code])
-            i += 2
+        if code == "%%":
+            plain, i = plain + "%", i + 2
+        elif code in PATTERNS:
+            out += [quoted(), PATTERNS[code]]
+            plain, i = "", i + 2
         elif pattern[i] == "%":
             raise ValueError(f"no such code: {code}")
         else:
-            c = pattern[i]
-            out.append(f"'{c}'" if c.isalpha() else "''" if c == "'" else c)
-            i += 1
-    return "".join(out)
+            plain, i = plain + pattern[i], i + 1
+    return "".join([*out, quoted()])
 
 
 def format_datetime(c: Column, pattern: str, zone: str | None = None) -> Column:

@@ -87,7 +87,7 @@ def nullable(name: str) -> bool:
 
 def schema(described: str | dict[str, str]) -> T.StructType:
     """'a UInt8, b String' or a dictionary -> Spark schema."""
-    pairs = [x.split(None, 1) for x in arguments(described)] if isinstance(described, str) else list(described.items())
+    pairs = [re.fullmatch(r"(`[^`]+`|\"[^\"]+\"|\S+)\s+(.+)", x, re.S).groups() for x in arguments(described)] if isinstance(described, str) else list(described.items())
     return T.StructType([T.StructField(n.strip("`\""), spark_type(t), True, {"type": t.strip()}) for n, t in pairs])
 
 
