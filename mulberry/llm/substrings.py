@@ -31,8 +31,8 @@ from .bwt_merge import repeated
 from .common import fresh_path, raw, slices, table, written
 
 LENGTH, GRAM = 200, 32
-#: Bytes of segments merged at once.
-BATCH = 256 << 10
+#: Bytes of segments merged at once: few enough that a batch has its symbols' widest form and its arrays stay in a core's cache.
+BATCH = 60 << 10
 TEXTS = "key binary, n long, text string"
 ANCHORS = "anchor long, segment long, key binary, start int, starts int, at int"
 MARKS = "anchor long, segment long, ranges array<struct<a:int,b:int>>"
@@ -233,11 +233,12 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
 
         for own in grouped():
             for part in divided(own, length):
-                held += part
-                size += sum(len(x[1]) for x in part)
-                if size >= BATCH:
+                more = sum(len(x[1]) for x in part)
+                if held and size + more > BATCH:
                     yield flush(held)
                     held, size = [], 0
+                held += part
+                size += more
         if held:
             yield flush(held)
 
