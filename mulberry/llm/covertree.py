@@ -35,6 +35,10 @@ BLOCK = 8192
 #: Vectors that centres of blocks are drawn from, and centres at most.
 SAMPLE, CENTRES = 4096, 256
 RADII = (math.pi / 2, math.pi / 4, math.pi / 8, math.pi / 16)
+#: Points and nodes held against others by one matrix product.
+RUN = 256
+#: Products in single precision, which only find candidates, are held against bounds this much lower.
+ROUND = 1e-4
 #: Bounds of angles are taken this much wider, so that rounding decides nothing: cosines decide near the threshold.
 SLACK = 1e-6
 FOUND = "a long, b long, links long"
@@ -77,17 +81,23 @@ class Tree:
 
     def _node(self, own: np.ndarray, level: int, far: np.ndarray) -> Node:
         """own: points, the centre first; far: their angles from the centre."""
-        low, radius = len(self.order), float(far.max())
+        low, radius = len(self.order), float(far.max()) if len(own) > 1 else 0.0
         if len(own) == 1 or level == len(RADII):
             self.order += own.tolist()
             return Node(low, low + len(own), radius, [])
-        children, left, points = [], own, self.points
+        children, left, least = [], own, math.cos(RADII[level])
         while len(left):
-            d = far if left is own else angle(points[left] @ points[left[0]])
-            near = d <= RADII[level]
-            near[0] = True
-            children.append(self._node(left[near], level + 1, d[near]))
-            left = left[~near]
+            # candidates for centres come in runs, whose cosines to all points left are one product
+            cosines, free = self.points[left[:RUN]] @ self.points[left].T, np.ones(len(left), bool)
+            for i in range(len(cosines)):
+                if free[i]:
+                    near = (cosines[i] >= least) & free
+                    near[i] = True
+                    free &= ~near
+                    at = np.flatnonzero(near)
+                    at = np.concatenate([[i], at[at != i]])
+                    children.append(self._node(left[at], level + 1, angle(cosines[i, at])))
+            left = left[free]
         return Node(low, low + len(own), radius, children)
 
 
@@ -133,16 +143,39 @@ class Links:
         self._children(node.children, node.children, upper=True)
 
     def _children(self, some: list[Node], others: list[Node], upper: bool = False) -> None:
+        # by radius, so that runs of nodes have tight bounds in common
+        some = sorted(some, key=lambda x: x.radius)
+        others = some if upper else sorted(others, key=lambda x: x.radius)
         low_a, low_b = np.array([x.low for x in some]), np.array([x.low for x in others])
         ra, rb = np.array([x.radius for x in some]), np.array([x.radius for x in others])
-        apart = angle(self.a.points[low_a] @ self.b.points[low_b].T)
-        reach = ra[:, None] + rb[None, :]
-        near = apart - reach <= self.limit + SLACK
-        if upper:
-            near = np.triu(near, 1)
-        for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        single_a, single_b = np.array([x.high - x.low == 1 for x in some]), np.array([x.high - x.low == 1 for x in others])
+        narrow_a, narrow_b = self.a.points[low_a].astype(np.float32), self.b.points[low_b].astype(np.float32)
+        for i in range(0, len(some), RUN):
+            for j in range(i if upper else 0, len(others), 4 * RUN):
+                wide = self.limit + SLACK + float(ra[i : i + RUN].max() + rb[j : j + 4 * RUN].max())
+                rows, columns = np.nonzero(narrow_a[i : i + RUN] @ narrow_b[j : j + 4 * RUN].T >= (math.cos(wide) if wide < math.pi else -1) - ROUND)
+                rows, columns = rows + i, columns + j
+                if upper:
+                    rows, columns = rows[columns > rows], columns[columns > rows]
+                if len(rows):
+                    self._candidates(some, others, rows, columns, low_a, low_b, ra, rb, single_a[rows] & single_b[columns])
+
+    def _candidates(self, some: list[Node], others: list[Node], rows: np.ndarray, columns: np.ndarray, low_a: np.ndarray, low_b: np.ndarray, ra: np.ndarray, rb: np.ndarray, single: np.ndarray) -> None:
+        """Pairs of nodes, by their numbers: single points by their cosines, others by the bounds of their radii."""
+        step = 1 << 14
+        cosines = np.concatenate([np.einsum("ij,ij->i", self.a.points[low_a[rows[k : k + step]]], self.b.points[low_b[columns[k : k + step]]]) for k in range(0, len(rows), step)])
+        linked = single & (cosines >= self.cosine)
+        if linked.any():
+            x, y = low_a[rows[linked]], low_b[columns[linked]]
+            self.links_a += np.bincount(x, weights=self.nb[y], minlength=len(self.links_a)).astype(np.int64)
+            self.links_b += np.bincount(y, weights=self.na[x], minlength=len(self.links_b)).astype(np.int64)
+            self._join(x, y + self.shift)
+        apart, reach = angle(cosines), ra[rows] + rb[columns]
+        near = ~single & (apart - reach <= self.limit + SLACK)
+        inside = apart + reach <= self.limit - SLACK
+        for i, j, whole in zip(rows[near].tolist(), columns[near].tolist(), inside[near].tolist(), strict=True):
             x, y = some[i], others[j]
-            if apart[i, j] + reach[i, j] <= self.limit - SLACK:
+            if whole:
                 self._all(x, y)
             elif not x.children and not y.children:
                 self._exact(x, y)
