@@ -54,12 +54,11 @@ def _shard(symbols: np.ndarray, lengths: np.ndarray, q: int) -> tuple[np.ndarray
     rank[ended] = np.arange(count)
     rank[~ended] = count + symbols[~ended].astype(np.int64)
     step, most = q, int(rank.max()) + 1
-    order = np.argsort(rank, kind="stable")
     while True:
         after = rank[np.minimum(np.arange(n) + step, n - 1)]
         key = rank * most + after
         key[ended] = rank[ended] * most
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # the order of equal keys does not matter: they get one rank
         ordered = key[order]
         new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
         rank = np.empty(n, np.int64)

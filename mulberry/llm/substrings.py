@@ -6,7 +6,8 @@
    equal anchors, so a window whose anchor's hash occurs once cannot repeat. Neighbouring windows of one anchor make a segment.
    Segments of anchors that occur twice or more go on; equal segments become one with a number.
 3. Segments are dealt out by anchor, and each batch of anchors' segments goes through ``bwt_merge.repeated``: transforms of the
-   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. An anchor with more segments than
+   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. An anchor whose segments are all
+   equal is not merged: they have become one segment, whose number says that all its windows repeat. An anchor with more segments than
    a batch holds is divided by how far its windows start before it, and by the bytes that all of these windows share; equal
    segments become one again, so that batches stay bounded.
 4. Ranges of repeated windows go back to the texts, which lose the bytes covered.
@@ -217,6 +218,12 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
             for owner, ranges in merged(items):
                 if ranges:
                     out.setdefault(owner, []).extend({"a": a, "b": b} for a, b in ranges)
+            return as_batch(out)
+
+        def found(whole: list) -> pa.RecordBatch:
+            return as_batch({owner: [{"a": 0, "b": windows}] for owner, windows in whole})
+
+        def as_batch(out: dict) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array(list(out.values()), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["anchor", "segment", "ranges"])
 
         def grouped() -> Iterator[list]:
@@ -231,7 +238,16 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
             if group:
                 yield group
 
+        lone: list = []
         for own in grouped():
+            if len(own) == 1:  # equal segments alone at their anchor, two or more
+                (owners, _, windows, _, n), = own
+                if n > 1:
+                    lone.append((owners[0][0], windows))
+                if len(lone) >= 4096:
+                    yield found(lone)
+                    lone = []
+                continue
             for part in divided(own, length):
                 more = sum(len(x[1]) for x in part)
                 if held and size + more > BATCH:
@@ -241,6 +257,8 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
                 size += more
         if held:
             yield flush(held)
+        if lone:
+            yield found(lone)
 
     return segments.mapInArrow(run, MARKS)
 
