@@ -40,7 +40,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Words up to so many bytes are encoded together; longer ones one by one with the same tables.
 TOGETHER = 24
 #: Encoded words kept in memory by a worker.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 FOREVER = np.int32(2**31 - 1)
 
 

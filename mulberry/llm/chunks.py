@@ -11,8 +11,8 @@ from collections.abc import Callable, Iterable
 
 _RUN = re.compile(r" (?:\s|(?<=\s ))")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces kept in memory by a worker; the store is emptied when full, which changes no result.
-KEPT = 400_000
+#: Pieces kept in memory by a worker; a full store keeps those of the texts at hand, which changes no result.
+KEPT = 300_000
 #: Longer pieces are not kept.
 LONGEST = 48
 
@@ -37,8 +37,8 @@ class PieceStore:
             new.update(parts)
         new.difference_update(self.known)
         if len(self.known) + len(new) > KEPT:
-            self.known = {}
-            new = {p for parts in cut for p in parts}
+            now = {p for parts in cut for p in parts}
+            self.known = {p: self.known[p] for p in now if p in self.known}  # those in use stay
         fresh = list(new)
         *coded, = self.encode([*firsts, *[" " + p for p in fresh]])
         self.known.update(zip(fresh, coded[len(firsts) :], strict=True))

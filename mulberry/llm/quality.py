@@ -50,7 +50,7 @@ class Buckets(dict):
 
     def __missing__(self, word: bytes) -> int:
         bucket = zlib.crc32(word) % BUCKETS
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = bucket
         return bucket
 
