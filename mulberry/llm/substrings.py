@@ -6,8 +6,8 @@
    equal anchors, so a window whose anchor's hash occurs once cannot repeat. Neighbouring windows of one anchor make a segment.
    Segments of anchors that occur twice or more go on; equal segments become one with a number.
 3. Segments are dealt out by anchor, and each batch of anchors' segments goes through ``bwt_merge.repeated``: transforms of the
-   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. An anchor whose segments are all
-   equal is not merged: they have become one segment, whose number says that all its windows repeat. An anchor with more segments than
+   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. Segments that are all equal at their
+   anchor are known to repeat whole when anchors are counted, and go no further. An anchor with more segments than
    a batch holds is divided by how far its windows start before it, and by the bytes that all of these windows share; equal
    segments become one again, so that batches stay bounded.
 4. Ranges of repeated windows go back to the texts, which lose the bytes covered.
@@ -218,12 +218,6 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
             for owner, ranges in merged(items):
                 if ranges:
                     out.setdefault(owner, []).extend({"a": a, "b": b} for a, b in ranges)
-            return as_batch(out)
-
-        def found(whole: list) -> pa.RecordBatch:
-            return as_batch({owner: [{"a": 0, "b": windows}] for owner, windows in whole})
-
-        def as_batch(out: dict) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array(list(out.values()), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["anchor", "segment", "ranges"])
 
         def grouped() -> Iterator[list]:
@@ -238,16 +232,7 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
             if group:
                 yield group
 
-        lone: list = []
         for own in grouped():
-            if len(own) == 1:  # equal segments alone at their anchor, two or more
-                (owners, _, windows, _, n), = own
-                if n > 1:
-                    lone.append((owners[0][0], windows))
-                if len(lone) >= 4096:
-                    yield found(lone)
-                    lone = []
-                continue
             for part in divided(own, length):
                 more = sum(len(x[1]) for x in part)
                 if held and size + more > BATCH:
@@ -257,8 +242,6 @@ def marks(segments: DataFrame, length: int) -> DataFrame:
                 size += more
         if held:
             yield flush(held)
-        if lone:
-            yield found(lone)
 
     return segments.mapInArrow(run, MARKS)
 
@@ -284,13 +267,17 @@ def spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
     # an anchor that occurs once cannot repeat; counted in the one shuffle that brings equal anchors together
     from pyspark.sql import Window
 
-    occurring = written(every.withColumn("_n", F.count("*").over(Window.partitionBy("anchor"))).where("_n > 1").drop("_n"), "occurrences")
+    same = Window.partitionBy("anchor")
+    counted = every.withColumn("_n", F.count("*").over(same)).withColumn("alike", F.min("segment").over(same) == F.max("segment").over(same))
+    repeats = written(counted.where("_n > 1").drop("_n"), "occurrences")
+    whole = repeats.where("alike").select("key", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("starts")).alias("b"))).alias("ranges"))
+    occurring = repeats.where("not alike").drop("alike")
     kinds = occurring.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(F.struct("key", "start", "starts", "at")).alias("x"))
     kinds = kinds.select("anchor", "segment", "n", F.col("x.key").alias("key"), "x.start", "x.starts", "x.at")
     cut = texts.select("key", "text").join(kinds, "key").select("anchor", "segment", "n", F.substring(F.col("text").cast("binary"), F.col("start") + 1, F.col("starts") + (length - 1)).alias("data"), "starts", "at")
     found = written(marks(cut.repartition("anchor").sortWithinPartitions("anchor"), length), "marks")
     ranges = occurring.join(found, ["anchor", "segment"]).select("key", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("ranges"))
-    by_text = ranges.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    by_text = ranges.unionAll(whole).groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
