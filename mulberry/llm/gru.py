@@ -13,7 +13,7 @@ import numpy as np
 
 EMBED, HIDDEN, CLASSES = 16, 24, 64
 #: Streams trained side by side, and steps that gradients are carried back.
-LANES, STEPS = 128, 32
+LANES, STEPS = 512, 32
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -23,6 +23,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def exponentials(e: np.ndarray) -> np.ndarray:
+    """exp(e) in place and its sums over rows; logits are held within single precision's range."""
+    np.exp(np.clip(e, -80, 80, out=e), out=e)
+    return e @ np.ones(e.shape[1], e.dtype)
+
+
 def class_bounds(counts: np.ndarray) -> np.ndarray:
     """First token of each class, and the end."""
     weight = np.cumsum(np.sqrt(counts + 1.0))
@@ -66,11 +72,8 @@ class Gru:
         p, rows = self.p, np.arange(len(target))
         own = self.class_of[target]
         e = h @ p["wc"] + p["bc"]
-        e -= e.max(1, keepdims=True)
-        picked = e[rows, own]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        out = picked - np.log(total)
+        total = exponentials(e)
+        out = np.log(e[rows, own]) - np.log(total)
         dh = None
         if back is not None:
             e /= total[:, None]
@@ -84,12 +87,9 @@ class Gru:
             mine, a, b = order[cuts[c] : cuts[c + 1]], self.bounds[c], self.bounds[c + 1]
             hs, place = h[mine], target[mine] - a
             e = hs @ p["wo"][a:b].T + p["bo"][a:b]
-            e -= e.max(1, keepdims=True)
             k = np.arange(len(mine))
-            picked = e[k, place]
-            np.exp(e, out=e)
-            total = e.sum(1)
-            out[mine] += picked - np.log(total)
+            total = exponentials(e)
+            out[mine] += np.log(e[k, place]) - np.log(total)
             if back is not None:
                 e /= total[:, None]
                 e[k, place] -= 1

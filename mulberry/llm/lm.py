@@ -95,10 +95,21 @@ class Lexicon:
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
-    """From written counts: their sums, and the most frequent words, at most HEAD, by falling count and then by their bytes."""
+    """From written counts: their sums, and the most frequent words, at most HEAD, by falling count and then by their bytes.
+
+    Counts fall into fixed steps (64 to a doubling), and the head takes whole steps from the highest while they fit: so what reaches the driver
+    is one row for each step and then at most HEAD words in all, however many tasks there are. Words beyond the head come by the join.
+    """
     total = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.octet_length("word") == 0, F.col("n")))).first()
-    top = counts.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(HEAD).collect()
-    return Lexicon([bytes(x["word"]) for x in top], [x["n"] for x in top], int(total[0] or 0), int(total[1] or 0), int(total[2] or 0))
+    words = counts.where(F.octet_length("word") > 0).withColumn("step", F.floor(F.log2("n") * 64))
+    least, held = None, 0
+    for step, n in sorted(words.groupBy("step").count().collect(), reverse=True):  # at most 64 x 64 rows
+        if held + n > HEAD:
+            break
+        least, held = step, held + n
+    top = words.where(F.col("step") >= least).select("word", "n").collect() if held else []
+    top = sorted(((bytes(x["word"]), x["n"]) for x in top), key=lambda x: (-x[1], x[0]))
+    return Lexicon([w for w, _ in top], [n for _, n in top], int(total[0] or 0), int(total[1] or 0), int(total[2] or 0))
 
 
 def averaged(pieces: DataFrame) -> np.ndarray | None:
