@@ -276,6 +276,8 @@ def spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
     kinds = kinds.select("anchor", "segment", "n", F.col("x.key").alias("key"), "x.start", "x.starts", "x.at")
     cut = texts.select("key", "text").join(kinds, "key").select("anchor", "segment", "n", F.substring(F.col("text").cast("binary"), F.col("start") + 1, F.col("starts") + (length - 1)).alias("data"), "starts", "at")
     found = written(marks(cut.repartition("anchor").sortWithinPartitions("anchor"), length), "marks")
+    # a segment of a divided anchor may be marked by several parts: one row for each, so that the join keeps to the occurrences
+    found = found.groupBy("anchor", "segment").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
     ranges = occurring.join(found, ["anchor", "segment"]).select("key", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("ranges"))
     by_text = ranges.unionAll(whole).groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
