@@ -10,6 +10,11 @@ A popcount of 0, 1, 2 is kept as 00, 01, 11, so that Manhattan distances are cou
 of this is bit arithmetic of Spark SQL over distinct fingerprints: copies meet no join, and the join may be split where a cell is
 full. Links become components without leaving the executors.
 
+``keep_near`` is for near-duplicate stages: links are word-shingle sets whose Jaccard similarity, computed exactly, is high enough.
+Candidates come from several independent fingerprints of the set. Here a segment is one bit, so the Manhattan distance is the Hamming
+distance; 4 groups of 16 segments have, within 11 bits, one group within 2. Every fingerprint is stored in the 17 cells up to one step
+from its own, so that such two share a cell. A pair over 11 bits apart in every fingerprint is missed (see README for the recall).
+
 Edge cases: a text with fewer words than a shingle is one shingle, one without words (null, empty) has fingerprint zero and is
 linked like any other; repeated rows share a component; null ids are never the smallest unless all are null; an empty table
 gives no rows.
@@ -26,9 +31,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import raw, slices, table, written
-from .components import components
+from .components import components, thinned
 
 SHINGLE, BITS, SEED = 3, 3, 42
+NEAR_WORDS, NEAR_BITS, SIMILARITY, TABLES = 5, 11, 0.8, 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -105,6 +111,170 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     return kept.withColumn("_row", first).where("_row = 1").select(*docs.columns)
 
 
+def shingles(data: bytes | None, words_each: int = NEAR_WORDS) -> np.ndarray:
+    """XXH64 values of the distinct word shingles, sorted."""
+    from xxhash import xxh64_intdigest
+
+    words = (data or b"").translate(_LOWER).split()
+    found = zip(*(words[i:] for i in range(words_each)), strict=False) if len(words) >= words_each else [words] if words else []
+    return np.unique(np.fromiter(map(xxh64_intdigest, map(b" ".join, found), repeat(SEED)), np.uint64))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    from xxhash import xxh64_intdigest
+
+    return int(np.uint64(xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def set_fingerprints(hashes: np.ndarray, tables: int = TABLES) -> list[int]:
+    """Independent fingerprints of one set; the first is of the values themselves, the others of values mixed anew."""
+    found, values = [], hashes
+    for _ in range(tables):
+        total = np.zeros(64, np.int64)
+        octets = values.astype(">u8").view(np.uint8).reshape(-1, 8)
+        for low in range(0, len(octets), 1 << 16):
+            total += np.unpackbits(octets[low : low + (1 << 16)], axis=1).sum(0, dtype=np.int64)
+        found.append(int.from_bytes(np.packbits(2 * total > len(values)).tobytes(), "big", signed=True))
+        values = values + np.uint64(0x9E3779B97F4A7C15)
+        values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        values = values ^ (values >> np.uint64(31))
+    return found
+
+
+def _sets(docs: DataFrame, text_col: str, words_each: int, more: str) -> DataFrame:
+    """All columns of ``docs``, _set and, as ``more`` says, the fingerprints (_fps) or the values of the set (_hashes)."""
+    from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+
+    kept, place = docs.columns, docs.columns.index(text_col)
+    fields = [StructField("_set", LongType())] + {"": [], "_fps": [StructField("_fps", ArrayType(LongType()))], "_hashes": [StructField("_hashes", BinaryType())]}[more]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, place):
+            found = [shingles(x, words_each) for x in raw(batch.column(place))]
+            columns = [pa.array([set_id(x) for x in found], pa.int64())]
+            if more == "_fps":
+                columns.append(pa.array([set_fingerprints(x) for x in found], pa.list_(pa.int64())))
+            elif more == "_hashes":
+                columns.append(pa.array([x.tobytes() for x in found], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*kept, *(x.name for x in fields)])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
+
+
+_FLIPS = np.array([0, *(1 << i for i in range(16))], np.int64)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for low in range(0, whole.num_rows, 4096):
+            batch = whole.slice(low, 4096)
+            ids = np.repeat(batch.column(0).to_numpy(), len(_FLIPS))
+            fps = np.array(batch.column(1).to_pylist(), np.int64)
+            for t in range(fps.shape[1]):
+                for g in range(4):
+                    cells = (fps[:, t] >> (16 * g) & 0xFFFF)[:, None] ^ _FLIPS
+                    yield pa.RecordBatch.from_arrays([pa.array((cells | (t * 4 + g) << 16).ravel().astype(np.int32)), pa.array(ids), pa.array(np.repeat(fps[:, t], len(_FLIPS)))], ["key", "_set", "fp"])
+
+
+def _paired(key: int, ids: np.ndarray, fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one cell within ``bits``, only in the first group of segments where they are within two steps."""
+    g, cell = key >> 16 & 3, key & 0xFFFF
+    for i in range(0, len(ids), 1024):
+        for j in range(i, len(ids), 4096):
+            apart = fps[i : i + 1024, None] ^ fps[None, j : j + 4096]
+            x, y = np.nonzero(np.bitwise_count(apart.view(np.uint64)) <= bits)
+            x, y, apart = x + i, y + j, apart[x, y]
+            ok = x < y
+            for before in range(g):
+                ok &= np.bitwise_count(apart >> (16 * before) & 0xFFFF) > 2
+            own = fps[x] >> (16 * g) & 0xFFFF
+            ok &= ((apart >> (16 * g) & 0xFFFF) != 0) | (own == cell)  # equal groups share 17 cells
+            if ok.any():
+                a, b = ids[x[ok]], ids[y[ok]]
+                yield np.minimum(a, b), np.maximum(a, b)
+
+
+def candidates(distinct: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
+    """distinct (_set, _fps) -> a < b: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits."""
+    if not 0 <= bits <= 11:
+        raise ValueError("one group within two steps holds for up to 11 bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
+            more = ends - starts > 1
+            for s, e in zip(starts[more].tolist(), ends[more].tolist(), strict=True):
+                for a, b in _paired(int(keys[s]), ids[s:e], fps[s:e], bits):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(i).to_numpy() for i in range(3)]
+            if held and held[-1][0][-1] == now[0][-1]:  # a cell goes on; its rows wait
+                held.append(now)
+                continue
+            keys, ids, fps = (np.concatenate(x) for x in zip(*held, now, strict=True))
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield from out(keys[:cut], ids[:cut], fps[:cut])
+            held = [[keys[cut:], ids[cut:], fps[cut:]]]
+        if held:
+            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    cells = distinct.select("_set", "_fps").mapInArrow(_cells, "key int, _set long, fp long")
+    return cells.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose sets (_set, _hashes) have a Jaccard similarity of at least ``similarity``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = 0
+                if min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-9:
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.join(sets.select(F.col("_set").alias("a"), F.col("_hashes").alias("_x")), "a").join(sets.select(F.col("_set").alias("b"), F.col("_hashes").alias("_y")), "b")
+    return joined.select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long")
+
+
+def near_links(docs: DataFrame, distinct: DataFrame, text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: the stars of candidates
+    are verified first, then every candidate that these don't connect yet."""
+    pairs = written(candidates(distinct, bits), "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("_set"))
+    needed = written(ends.distinct(), "needed")
+    sets = written(_sets(docs.select(text_col), text_col, words_each, "_hashes").select("_set", "_hashes").join(needed, "_set", "left_semi").groupBy("_set").agg(F.first("_hashes").alias("_hashes")), "sets")
+    stars = written(similar(thinned(pairs).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), sets, similarity), "stars")
+    root = components(stars)
+    for end in ("a", "b"):
+        pairs = pairs.join(root.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left")
+    rest = pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+    return written(stars.unionByName(similar(rest, sets, similarity)), "links")
+
+
+def keep_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of texts linked by Jaccard similarity, that with the smallest id (of equal ones, any text of one set); same columns."""
+    marked = written(_sets(docs.select(id_col, text_col), text_col, words_each, "_fps").select(id_col, "_set", "_fps"), "marked")
+    distinct = written(marked.groupBy("_set").agg(F.min(id_col).alias("least"), F.first("_fps").alias("_fps")), "distinct")
+    found = components(near_links(docs, distinct, text_col, words_each, bits, similarity)).withColumnRenamed("node", "_set")
+    rooted = distinct.join(found, "_set", "left").select("_set", F.coalesce("root", "_set").alias("root"), "least")
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "_set")).alias("x"))
+    chosen = best.select(F.col("x._set").alias("_kept_set"), F.col("x.least").alias("_kept_id"))
+    kept = _sets(docs, text_col, words_each, "").join(chosen, (F.col("_set") == F.col("_kept_set")) & F.col(id_col).eqNullSafe(F.col("_kept_id")))
+    first = F.row_number().over(Window.partitionBy("_set", id_col).orderBy(text_col))
+    return kept.withColumn("_row", first).where("_row = 1").select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = written(fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_fp"), "marked")
     found = groups(marked).select(F.col("fp").alias("_fp"), F.col("least_id").alias("component_id"))

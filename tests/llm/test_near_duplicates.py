@@ -69,6 +69,66 @@ def test_keep_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def near_texts():
+    """Texts with copies of which a few words were changed, so that similarities lie on both sides of 0.8."""
+    random.seed(11)
+    texts = ["", "one", "One ", "two words"]
+    for _ in range(25):
+        base = [f"w{random.randrange(5000)}" for _ in range(random.randint(60, 300))]
+        texts.append(" ".join(base))
+        for _ in range(5):
+            changed = list(base)
+            for _ in range(random.randint(1, max(1, len(base) // 40))):
+                changed[random.randrange(len(base))] = f"x{random.randrange(5000)}"
+            texts.append(" ".join(changed))
+    return texts
+
+
+def five_words(text):
+    w = words(lower(text))
+    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)} if w else set()
+
+
+def jaccard_pairs(texts):
+    sets = [five_words(t) for t in texts]
+    return [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if 5 * len(x & y) >= 4 * len(x | y)]
+
+
+def test_candidates_against_all_pairs(llm):
+    random.seed(5)
+    fps = []
+    for _ in range(60):
+        x = random.getrandbits(64)
+        for _ in range(4):
+            y = x
+            for bit in random.sample(range(64), random.randint(0, 14)):
+                y ^= 1 << bit
+            fps.append(((y - 2**64 if y >> 63 else y), random.getrandbits(63)))
+    got = {tuple(r) for r in simhash.candidates(llm.createDataFrame([(i, list(x)) for i, x in enumerate(fps)], "_set long, _fps array<long>")).collect()}
+    assert got == {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if any(((p ^ q) % 2**64).bit_count() <= 11 for p, q in zip(x, y, strict=True))}
+
+
+def test_near_stage_against_brute_force(llm, sf_dir):
+    import corpus_pipeline
+
+    texts = near_texts()
+    pairs = jaccard_pairs(texts)
+    fps = [fingerprint(t) for t in texts]
+    assert sum((fps[i] ^ fps[j]).bit_count() > 3 for i, j in pairs) > len(pairs) // 2  # what 3 bits of 3 words miss
+    docs = llm.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.simhash_stage(llm, docs.repartition(5), sf_dir).collect()}
+    whole = set(components(len(texts), pairs))
+    assert whole <= kept  # nothing that is not similar is dropped
+    assert len(kept - whole) <= 0.02 * (len(texts) - len(whole))
+
+
+def test_keep_near_of_odd_rows(odd, none):
+    kept, rows = simhash.keep_near(odd), odd.collect()
+    least = components(len(rows), jaccard_pairs([r["text"] for r in rows]))
+    assert kept.columns == odd.columns and kept.count() == len(set(least))
+    assert simhash.keep_near(none).count() == 0
+
+
 def brute_repeats(strings, weights, length):
     counts = Counter()
     for s, w in zip(strings, weights, strict=True):
