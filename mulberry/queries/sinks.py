@@ -147,9 +147,8 @@ def out_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("out_blocks", "SELECT o_orderkey FROM orders")
 def out_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What block streams give, made into rows again; for tables that fit the driver."""
-    df = read(spark, sf_dir, "orders").select("o_orderkey")
-    return spark.createDataFrame(pa.Table.from_batches(results.arrow_batches(df, 1000)))
+    """What blocks of at most 1000 rows, made inside the tasks, give."""
+    return results.task_blocks(read(spark, sf_dir, "orders").select("o_orderkey"), 1000)
 
 
 @query("out_pandas", "SELECT n_nationkey, n_name FROM nation")

@@ -84,6 +84,17 @@ def arrow_batches(df: DataFrame, rows: int = 10_000) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), kinds, strict=True)], schema=kinds)
 
 
+def task_blocks(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """The same rows, cut into Arrow batches of at most ``rows`` inside the tasks; nothing reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, rows):
+                yield batch.slice(low, rows)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def to_pandas(df: DataFrame, arrow_types: bool = False) -> pd.DataFrame:
     return df.toArrow().to_pandas(types_mapper=pd.ArrowDtype) if arrow_types else df.toPandas()
 

@@ -273,3 +273,17 @@ def test_plans_push_down(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(o_custkey), LessThan(o_custkey,5)]" in plan and "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     top = modifiers.limit_by(spark.read.parquet(f"{sf_dir}/events.parquet"), ["user_id"], 2, ["event_id"])
     assert "WindowGroupLimit" in top._jdf.queryExecution().toString()
+
+
+def test_out_blocks_stays_off_the_driver(spark, sf_dir, monkeypatch):
+    from mulberry.queries import QUERIES
+    from mulberry.sinks import results
+
+    def refuse(*args):
+        raise AssertionError("rows stream through the driver")
+
+    monkeypatch.setattr(results, "rows_stream", refuse)
+    want = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    got = QUERIES["out_blocks"](spark, sf_dir)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 1000
+    assert results.task_blocks(spark.range(2500, numPartitions=1), 1000).count() == 2500
