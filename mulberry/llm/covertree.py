@@ -275,25 +275,25 @@ def _links(distinct: DataFrame, cosine: float) -> DataFrame:
 
     placed = written(distinct.select("cid", "v", "n").mapInArrow(place, "cid long, v binary, n long, size int, cell int, far double"), "placed")
     cells = placed.groupBy("size", "cell").agg(F.count("*").alias("k"), F.max("far").alias("radius")).orderBy("size", "cell").collect()  # at most CENTRES for each length
-    blocks = [(x["size"], x["cell"], part, -(-x["k"] // BLOCK), x["radius"]) for x in cells for part in range(-(-x["k"] // BLOCK))]
-    limit, partners = math.acos(cosine) + SLACK, []
-    for i, (size_i, cell_i, part_i, parts_i, radius_i) in enumerate(blocks):
-        for j in range(i, len(blocks)):
-            size_j, cell_j, part_j, _, radius_j = blocks[j]
+    limit, partners, blocks = math.acos(cosine) + SLACK, [], 0
+    numbered = []
+    for x in cells:
+        numbered.append((x["size"], x["cell"], -(-x["k"] // BLOCK), x["radius"], blocks))
+        blocks += -(-x["k"] // BLOCK)
+    for size_i, cell_i, _, radius_i, _ in numbered:
+        for size_j, cell_j, parts_j, radius_j, first_j in numbered:
             if size_i != size_j:
                 continue
             middle = float(angle(by_size[size_i][cell_i] @ by_size[size_i][cell_j])) if size_i in by_size else 0.0
             if middle - radius_i - radius_j <= limit:
-                pair = i * len(blocks) + j
-                partners.append((size_i, cell_i, part_i, pair, 0))
-                if i != j:
-                    partners.append((size_i, cell_j, part_j, pair, 1))
+                partners.append((size_i, cell_i, first_j, parts_j))
     if not partners:
         return spark.createDataFrame([], FOUND)
-    parts = {(s, c): k for s, c, _, k, _ in blocks}
-    number = spark.createDataFrame([(s, c, k) for (s, c), k in parts.items()], "size int, cell int, parts int")
-    dealt = placed.join(F.broadcast(number), ["size", "cell"]).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-    dealt = dealt.join(spark.createDataFrame(partners, "size int, cell int, part int, pair long, side int"), ["size", "cell", "part"])
+    number = spark.createDataFrame([(s, c, k, first) for s, c, k, _, first in numbered], "size int, cell int, parts int, first long")
+    dealt = placed.join(F.broadcast(number), ["size", "cell"]).withColumn("own", F.col("first") + F.pmod(F.xxhash64("cid"), F.col("parts")))
+    # pairs of cells come from the driver, their pairs of blocks are made here
+    dealt = dealt.join(F.broadcast(spark.createDataFrame(partners, "size int, cell int, first_other long, parts_other int")), ["size", "cell"])
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.col("first_other"), F.col("first_other") + F.col("parts_other") - 1)))
 
     def link(rows: pd.DataFrame) -> pd.DataFrame:
         sides = []
@@ -309,8 +309,8 @@ def _links(distinct: DataFrame, cosine: float) -> DataFrame:
         (va, na, ia), (vb, nb, ib) = sides
         return Links(Tree(va), na, Tree(vb), nb, cosine).result(ia, ib)
 
-    k = len(blocks)
-    return dealt.select("pair", "side", "cid", "v", "n", (F.floor(F.col("pair") / k) == F.col("pair") % k).alias("self")).groupBy("pair").applyInPandas(link, FOUND)
+    pair, side = F.least("own", "other") * F.lit(blocks).cast("long") + F.greatest("own", "other"), (F.col("own") > F.col("other")).cast("int")
+    return dealt.select(pair.alias("pair"), side.alias("side"), "cid", "v", "n", (F.col("own") == F.col("other")).alias("self")).groupBy("pair").applyInPandas(link, FOUND)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

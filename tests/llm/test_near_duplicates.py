@@ -236,3 +236,22 @@ def test_cover_tree_query(llm, sf_dir):
     least = components(len(rows), zip(*np.nonzero(near), strict=True))
     n = near.sum(0) + near.sum(1)
     assert {tuple(r) for r in covertree.query(llm, sf_dir).collect()} == {(rows[i][0], int(n[i]), rows[least[i]][0], least[i] == i) for i in range(len(rows))}
+
+
+def test_block_pairs_stay_off_the_driver(llm, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(60, 8))
+    vectors = np.concatenate([base, base + 0.02 * rng.normal(size=base.shape), base + 0.3 * rng.normal(size=base.shape)])
+    df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    want = {tuple(r) for r in covertree.near_duplicates(df).collect()}
+    sent, make = [], type(llm).createDataFrame
+
+    def spy(self, data, *args, **more):
+        sent.append(len(data))
+        return make(self, data, *args, **more)
+
+    monkeypatch.setattr(covertree, "BLOCK", 20)
+    monkeypatch.setattr(covertree, "CENTRES", 2)
+    monkeypatch.setattr(type(llm), "createDataFrame", spy)
+    assert {tuple(r) for r in covertree.near_duplicates(df).collect()} == want
+    assert sent and max(sent) <= 2 * 2
