@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SHARDS = 2
+SHARDS = 4
 #: Bytes in a symbol, most first; taken if the collection has few enough distinct symbols for 16 bits.
 WIDTHS = (8, 5, 4, 2, 1)
 

@@ -21,6 +21,7 @@ ROWS = 512
 TEXT_BYTES = 4 << 20
 
 _made: list[str] = []
+_tables: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,12 +53,30 @@ def forget(df: DataFrame) -> None:
     """Delete what ``written`` wrote, when nothing reads it any more."""
     path = getattr(df, "_mulberry_path", None)
     if path:
-        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
         _made.remove(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_later(name: str) -> None:
+    """Note a catalog table that ``drop_tables`` is to drop."""
+    _tables.append(name)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Drop the catalog tables made so far, with their files: call it when nothing reads them any more."""
+    while _tables:
+        name = _tables.pop()
+        where = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if where is not None:
+            _delete(spark, where["data_type"])
+
+
 @atexit.register
 def _sweep() -> None:
     for path in _made:

@@ -1,17 +1,20 @@
 """Removal of repeated substrings, found by merging Burrows-Wheeler transforms.
 
-1. Texts are brought to one row for equal bytes, with their number, in a table bucketed by the texts' MD5. A text that is there
-   more than once repeats as a whole.
+1. Texts are brought to one row for equal bytes, with their number, in a table bucketed by the texts' MD5.
 2. Anchors: the least hash of the 32-byte grams in each window of ``length`` bytes (the leftmost of equals). Equal windows have
    equal anchors, so a window whose anchor's hash occurs once cannot repeat. Neighbouring windows of one anchor make a segment.
    Segments of anchors that occur twice or more go on; equal segments become one with a number.
 3. Segments are dealt out by anchor, and each batch of anchors' segments goes through ``bwt_merge.repeated``: transforms of the
-   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. Segments that are all equal at their
-   anchor are known to repeat whole when anchors are counted, and go no further. An anchor with more segments than
-   a batch holds is divided by how far its windows start before it, and by the bytes that all of these windows share; equal
-   segments become one again, so that batches stay bounded.
+   batch's shards, merged by interleave refinement, whose intervals are the repeated windows. A text that is there more than once
+   goes through the same merge with its number as its weight.
 4. Ranges of repeated windows go back to the texts, which lose the bytes covered.
 
+Very common anchors. A bounded sample of texts tells which anchors are in one text of a hundred or more; occurrences of these are
+counted in salted parts, which changes where rows lie and no result. An anchor whose different segments hold more than ``GROUP``
+bytes is divided in Spark, in halves of how far windows start before the anchor, by the hash of the bytes that all windows of a half
+share; groups that are alike or small enough go to the merge, the others are halved again, at most eight times. Within a task, a
+group with more segments than a batch holds is divided in the same way by the bytes themselves.
+
 Edge cases: null and empty texts, and texts shorter than ``length``, lose nothing (an empty text keeps the empty string); matches
 never cross texts; repeated rows lose all of a text of ``length`` bytes or more, each of them; an empty table gives no rows; extra
 columns are not read by ``spans`` and pass through ``remove``.
@@ -25,17 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .bwt_merge import repeated
-from .common import fresh_path, raw, slices, table, written
+from .common import drop_later, drop_tables, fresh_path, raw, slices, table, written
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments merged at once: few enough that a batch has its symbols' widest form and its arrays stay in a core's cache.
 BATCH = 60 << 10
+#: Bytes of one anchor's different segments that may meet in one task; more are divided in Spark first.
+GROUP = 4 << 20
+#: Texts that tell which anchors are very common, and the share of them that makes an anchor so. They decide on salting alone.
+SAMPLE, COMMON = 4096, 0.01
 TEXTS = "key binary, n long, text string"
-ANCHORS = "anchor long, segment long, key binary, start int, starts int, at int"
+ANCHORS = "anchor long, segment long, key binary, start int, starts int, at int, salt int"
 MARKS = "anchor long, segment long, ranges array<struct<a:int,b:int>>"
 RESULTS = "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -96,6 +104,7 @@ def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
     once = keyed.mapInArrow(within, TEXTS).repartition(parts, "key").sortWithinPartitions("key", F.col("text").asc_nulls_last()).mapInArrow(across, TEXTS)
     name = f"mulberry_texts_{uuid.uuid4().hex}"
     once.write.bucketBy(parts, "key").option("path", fresh_path(spark, "texts")).format("parquet").saveAsTable(name)
+    drop_later(name)
     return spark.table(name)
 
 
@@ -146,8 +155,9 @@ def segments_of(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.array(value, np.uint64).view(np.int64), np.array(first, np.int32), np.array(count, np.int32), np.array(where, np.int32)
 
 
-def anchors(texts: DataFrame, length: int) -> DataFrame:
-    """A row for each segment of each different text."""
+def anchors(texts: DataFrame, length: int, common: np.ndarray | None = None) -> DataFrame:
+    """A row for each segment of each different text. salt: -1, or for ``common`` anchors a number that spreads them."""
+    common = np.zeros(0, np.int64) if common is None else common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -161,11 +171,21 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
                     parts.append((value, hashed ^ where, [key] * len(first), first, count, where))
             if parts:
                 value, hashed, first, count, where = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3, 4, 5))
-                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(hashed), pa.array([k for p in parts for k in p[2]], pa.binary()), pa.array(first), pa.array(count), pa.array(where)], ["anchor", "segment", "key", "start", "starts", "at"])
+                keys = [k for p in parts for k in p[2]]
+                salt = np.where(np.isin(value, common), np.fromiter((k[0] << 4 ^ k[1] for k in keys), np.int32, len(keys)), -1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(hashed), pa.array(keys, pa.binary()), pa.array(first), pa.array(count), pa.array(where), pa.array(salt)], ["anchor", "segment", "key", "start", "starts", "at", "salt"])
 
     return texts.select("key", "text").mapInArrow(run, ANCHORS)
 
 
+def common_anchors(texts: DataFrame, length: int) -> np.ndarray:
+    """Anchors that occur in many of a sample of about ``SAMPLE`` different texts, those with the least MD5: at most a few for each text."""
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+    sample = texts if share == 1 else texts.where(F.col("key") < F.lit(bytearray(int(share * 2**64).to_bytes(8, "big"))))
+    often = anchors(sample, length).select("anchor", "key").distinct().groupBy("anchor").count().where(F.col("count") >= max(2, COMMON * SAMPLE))
+    return np.sort(np.array([x["anchor"] for x in often.collect()], np.int64))
+
+
 def divided(group: list[tuple[int, bytes, int, int, int]], length: int, most: int = BATCH, low: int = 0, high: int | None = None) -> Iterator[list[tuple[int, bytes, int, int, int]]]:
     """Parts of one anchor's segments that hold together all windows that may be equal, each of at most ``most`` bytes.
 
@@ -258,37 +278,112 @@ def covered(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
     return out
 
 
+def _shifted(by: str) -> Column:
+    """Column ranges, moved by a column."""
+    return F.transform("ranges", lambda r: F.struct((r["a"] + F.col(by)).alias("a"), (r["b"] + F.col(by)).alias("b")))
+
+
+def _halves(pieces: DataFrame, length: int) -> DataFrame:
+    """Pieces (windows that start ``low`` to ``high`` bytes before the anchor) -> two each, of the halves of that range, with g, the
+    hash of the anchor, the range and the bytes that all windows of the range share."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    both = F.explode(F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b"))))
+    parts = pieces.withColumn("half", both).withColumn("low", F.col("half.a")).withColumn("high", F.col("half.b")).drop("half").where("low <= high")
+    first, last = F.greatest(F.lit(0), F.col("at") - F.col("high")), F.least(F.col("starts") - 1, F.col("at") - F.col("low"))
+    parts = parts.withColumn("first", first).withColumn("last", last).where("first <= last")
+    core = F.substring(F.col("data"), F.col("at") - F.col("low") + 1, F.lit(length) - (F.col("high") - F.col("low")))
+    return parts.withColumn("g", F.xxhash64("anchor", "low", "high", core)).select(
+        "g", "anchor", "segment", "n", F.substring(F.col("data"), F.col("first") + 1, F.col("last") - F.col("first") + length).alias("data"),
+        (F.col("last") - F.col("first") + 1).alias("starts"), (F.col("at") - F.col("first")).alias("at"), (F.col("cut") + F.col("first")).alias("cut"), "low", "high")
+
+
+def _common_marks(segments: DataFrame, length: int) -> list[DataFrame]:
+    """``marks`` of anchors with many different segments: divided until groups are small or alike, round by round in the shared folder."""
+    pieces, found = segments.withColumn("cut", F.lit(0)).withColumn("low", F.lit(0)).withColumn("high", F.lit(length - GRAM)), []
+    while True:
+        halves = written(_halves(pieces, length).withColumn("same", F.xxhash64("data", "at")), "halves")
+        state = halves.groupBy("g").agg(F.sum("n").alias("_n"), F.sum(F.octet_length("data")).alias("_bytes"), F.min("same").alias("_a"), F.max("same").alias("_b")).where("_n > 1")
+        state = written(state.select("g", ((F.col("_bytes") <= GROUP) | (F.col("_a") == F.col("_b"))).alias("ready")), "state")
+        halves = halves.join(state, "g").withColumn("ready", F.col("ready") | (F.col("low") == F.col("high")))
+        ready = halves.where("ready")
+        kinds = ready.groupBy("g", "same").agg(F.sum("n").alias("n"), F.first("data").alias("data"), F.first("starts").alias("starts"), F.first("at").alias("at"))
+        kinds = kinds.select(F.col("g").alias("anchor"), F.col("same").alias("segment"), "n", "data", "starts", "at").repartition("anchor").sortWithinPartitions("anchor")
+        marked = _summed(marks(kinds, length)).select(F.col("anchor").alias("g"), F.col("segment").alias("same"), "ranges")
+        found.append(written(ready.select("g", "same", "anchor", "segment", "cut").join(marked, ["g", "same"]).select("anchor", "segment", _shifted("cut").alias("ranges")), "marks"))
+        if state.where("not ready").isEmpty():
+            return found
+        pieces = written(halves.where("not ready").drop("g", "same", "ready"), "pieces")
+        if pieces.isEmpty():
+            return found
+
+
+def _summed(found: DataFrame) -> DataFrame:
+    """One row for each segment: several parts of a divided anchor may have marked it."""
+    return found.groupBy("anchor", "segment").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+
+
+def copied(texts: list[tuple[bytes, int]], length: int) -> list[list[tuple[int, int]]]:
+    """Texts and how often each occurs -> ranges of repeated windows, by merges of the texts' pieces with these weights."""
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    held: list[tuple[int, int, bytes, int]] = []
+
+    def flush() -> None:
+        for (i, low, _, _), ranges in zip(held, repeated([x[2] for x in held], np.array([x[3] for x in held]), length), strict=True):
+            out[i] += [(a + low, b + low) for a, b in ranges]
+
+    size = 0
+    for i, (data, n) in enumerate(texts):
+        for low in range(0, len(data) - length + 1, BATCH):
+            piece = data[low : low + BATCH + length - 1]
+            if held and size + len(piece) > BATCH:
+                flush()
+                held, size = [], 0
+            held.append((i, low, piece, n))
+            size += len(piece)
+    if held:
+        flush()
+    return out
+
+
 def spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """For each different text: key, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left)."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     texts = distinct_texts(docs, text_col)
-    every = anchors(texts, length)
+    every = anchors(texts, length, common_anchors(texts, length))
     # an anchor that occurs once cannot repeat; counted in the one shuffle that brings equal anchors together
-    from pyspark.sql import Window
-
-    same = Window.partitionBy("anchor")
-    counted = every.withColumn("_n", F.count("*").over(same)).withColumn("alike", F.min("segment").over(same) == F.max("segment").over(same))
-    repeats = written(counted.where("_n > 1").drop("_n"), "occurrences")
-    whole = repeats.where("alike").select("key", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("starts")).alias("b"))).alias("ranges"))
-    occurring = repeats.where("not alike").drop("alike")
+    counted = every.withColumn("_n", F.count("*").over(Window.partitionBy("anchor", "salt")))
+    occurring = written(counted.where("_n > 1 or salt >= 0").drop("_n", "salt"), "occurrences")
     kinds = occurring.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(F.struct("key", "start", "starts", "at")).alias("x"))
-    kinds = kinds.select("anchor", "segment", "n", F.col("x.key").alias("key"), "x.start", "x.starts", "x.at")
-    cut = texts.select("key", "text").join(kinds, "key").select("anchor", "segment", "n", F.substring(F.col("text").cast("binary"), F.col("start") + 1, F.col("starts") + (length - 1)).alias("data"), "starts", "at")
-    found = written(marks(cut.repartition("anchor").sortWithinPartitions("anchor"), length), "marks")
-    # a segment of a divided anchor may be marked by several parts: one row for each, so that the join keeps to the occurrences
-    found = found.groupBy("anchor", "segment").agg(F.array_distinct(F.flatten(F.collect_list("ranges"))).alias("ranges"))
-    ranges = occurring.join(found, ["anchor", "segment"]).select("key", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("ranges"))
-    by_text = ranges.unionAll(whole).groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    kinds = written(kinds.select("anchor", "segment", "n", F.col("x.key").alias("key"), "x.start", "x.starts", "x.at"), "kinds")
+    large = kinds.groupBy("anchor").agg(F.sum(F.col("starts") + (length - 1)).alias("bytes")).where(F.col("bytes") > GROUP).select("anchor", F.lit(True).alias("large"))
+    large = written(large, "large")
+    some = not large.isEmpty()
+    if some:
+        kinds = kinds.join(large, "anchor", "left")
+    cut = texts.select("key", "text").join(kinds, "key").select(
+        "anchor", "segment", "n", F.substring(F.col("text").cast("binary"), F.col("start") + 1, F.col("starts") + (length - 1)).alias("data"), "starts", "at", *["large"] * some)
+    if some:
+        cut = written(cut, "cut")
+        small = cut.where("large is null").drop("large")
+    else:
+        small = cut
+    found = written(marks(small.repartition("anchor").sortWithinPartitions("anchor"), length), "marks")
+    for more in _common_marks(cut.where("large").drop("large"), length) if some else []:
+        found = found.unionByName(more)
+    ranges = occurring.join(_summed(found), ["anchor", "segment"]).select("key", _shifted("start").alias("ranges"))
+    by_text = ranges.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             out = []
-            for key, n, data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                if n > 1:
-                    gone = [(0, len(data))] if len(data) >= length else []
-                else:
-                    gone = covered([(r["a"], r["b"]) for r in own or []], length)
+            ns, texts = batch.column(1).to_pylist(), raw(batch.column(2))
+            owns: list = [[(r["a"], r["b"]) for r in own or []] for own in batch.column(3).to_pylist()]
+            more = [i for i, n in enumerate(ns) if n > 1]
+            for i, own in zip(more, copied([(texts[i], ns[i]) for i in more], length), strict=True):
+                owns[i] = own
+            for key, data, own in zip(batch.column(0).to_pylist(), texts, owns, strict=True):
+                gone = covered(own, length)
                 at, left = 0, []
                 for a, b in gone:
                     left.append(data[at:a])
@@ -311,7 +406,6 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns[:batch_place], pa.array(left, pa.string())], names=[*whole, text_col])
 
     batch_place = len(whole)
-    from pyspark.sql.types import StringType, StructField, StructType
 
     keyed = docs.select(*whole, text_key(F.col(text_col)).alias("_key"), F.col(text_col).isNull().alias("_null"))
     joined = keyed.join(found, "_key").select(*whole, "_kept", "_null")
@@ -321,4 +415,5 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Dat
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = written(spans(docs).select("key", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "spans")
+    drop_tables(spark)
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

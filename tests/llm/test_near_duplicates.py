@@ -189,6 +189,32 @@ def test_substring_query(llm, sf_dir):
     assert {tuple(r) for r in substrings.query(llm, sf_dir).collect()} == expected
 
 
+@pytest.mark.parametrize("group", [3000, 20_000])
+def test_one_passage_in_every_document(llm, monkeypatch, group):
+    """Common anchors are salted and divided in Spark, with the same rows as brute force."""
+    import hashlib
+
+    random.seed(group)
+    monkeypatch.setattr(substrings, "GROUP", group)
+    monkeypatch.setattr(substrings, "COMMON", 0.002)
+    some = lambda n, letters=b"abcdef ": bytes(random.choice(letters) for _ in range(n))
+    passage, line = some(420), some(24) + b" "
+    texts = [some(random.randint(0, 260)) + passage + some(random.randint(0, 260)) for _ in range(60)]
+    texts += [some(random.randint(0, 120)) + line * random.randint(8, 20) + some(random.randint(0, 120)) for _ in range(25)] + [texts[3], texts[3], texts[7][:300], b""]
+    docs = llm.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = {tuple(r) for r in substrings.spans(docs).select("key", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()}
+    expected = {(hashlib.md5(t).digest(), len(t), n, spans, hashlib.sha256(kept).hexdigest()) for t, (kept, n, spans) in zip(texts, removed(texts), strict=True)}
+    assert {(bytes(k), *rest) for k, *rest in got} == expected
+
+
+def test_copies_of_a_long_text(monkeypatch):
+    monkeypatch.setattr(substrings, "BATCH", 1000)
+    random.seed(4)
+    some = lambda n: bytes(random.choice(b"abcdef ") for _ in range(n))
+    texts = [(some(5000), 2), (some(150), 5), (some(1000), 3), (b"", 2)]
+    assert [substrings.covered(x, 200) for x in substrings.copied(texts, 200)] == [[(0, 5000)], [], [(0, 1000)], []]
+
+
 def test_substrings_of_odd_documents(odd, none):
     cleaned = substrings.remove(odd)
     rows = odd.collect()
