@@ -14,6 +14,9 @@ full. Links become components without leaving the executors.
 Candidates come from several independent fingerprints of the set. Here a segment is one bit, so the Manhattan distance is the Hamming
 distance; 4 groups of 16 segments have, within 11 bits, one group within 2. Every fingerprint is stored in the 17 cells up to one step
 from its own, so that such two share a cell. A pair over 11 bits apart in every fingerprint is missed (see README for the recall).
+Cells travel in bundles that share their first bits, and a task lays out the cells of one bundle; bundles with too many members are
+cut into blocks that meet pair by pair. Pairs of a group of near copies are never all made: each set first names its nearest and its
+least candidate, these are verified and joined, and only candidates of sets that are not joined yet are then verified as well.
 
 Edge cases: a text with fewer words than a shingle is one shingle, one without words (null, empty) has fingerprint zero and is
 linked like any other; repeated rows share a component; null ids are never the smallest unless all are null; an empty table
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import raw, slices, table, written
-from .components import components, thinned
+from .components import components
 
 SHINGLE, BITS, SEED = 3, 3, 42
 NEAR_WORDS, NEAR_BITS, SIMILARITY, TABLES = 5, 11, 0.8, 3
@@ -162,71 +165,158 @@ def _sets(docs: DataFrame, text_col: str, words_each: int, more: str) -> DataFra
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
 
 
-_FLIPS = np.array([0, *(1 << i for i in range(16))], np.int64)
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for low in range(0, whole.num_rows, 4096):
-            batch = whole.slice(low, 4096)
-            ids = np.repeat(batch.column(0).to_numpy(), len(_FLIPS))
-            fps = np.array(batch.column(1).to_pylist(), np.int64)
-            for t in range(fps.shape[1]):
-                for g in range(4):
-                    cells = (fps[:, t] >> (16 * g) & 0xFFFF)[:, None] ^ _FLIPS
-                    yield pa.RecordBatch.from_arrays([pa.array((cells | (t * 4 + g) << 16).ravel().astype(np.int32)), pa.array(ids), pa.array(np.repeat(fps[:, t], len(_FLIPS)))], ["key", "_set", "fp"])
-
-
-def _paired(key: int, ids: np.ndarray, fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one cell within ``bits``, only in the first group of segments where they are within two steps."""
-    g, cell = key >> 16 & 3, key & 0xFFFF
-    for i in range(0, len(ids), 1024):
-        for j in range(i, len(ids), 4096):
-            apart = fps[i : i + 1024, None] ^ fps[None, j : j + 4096]
-            x, y = np.nonzero(np.bitwise_count(apart.view(np.uint64)) <= bits)
-            x, y, apart = x + i, y + j, apart[x, y]
-            ok = x < y
-            for before in range(g):
-                ok &= np.bitwise_count(apart >> (16 * before) & 0xFFFF) > 2
-            own = fps[x] >> (16 * g) & 0xFFFF
-            ok &= ((apart >> (16 * g) & 0xFFFF) != 0) | (own == cell)  # equal groups share 17 cells
-            if ok.any():
-                a, b = ids[x[ok]], ids[y[ok]]
-                yield np.minimum(a, b), np.maximum(a, b)
-
-
-def candidates(distinct: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
-    """distinct (_set, _fps) -> a < b: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits."""
+#: Members of a bundle of cells that one task lays out, at most; rows of a run that are compared at once.
+MEMBERS, RUN = 500_000, 128
+BUNDLES = "key int, low int, high int, side int, ids binary, fps binary, roots binary"
+
+
+def _bundle_keys(fps: np.ndarray, first: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each fingerprint and group of 16 bits: the number of both, and the bundles that each row is in: those of its first bits with up to one flipped."""
+    flips = np.array([0, *(1 << i for i in range(first))], np.int64)
+    for t in range(fps.shape[1]):
+        for g in range(4):
+            yield t * 4 + g, (fps[:, t] >> (16 * g + 16 - first) & ((1 << first) - 1))[:, None] ^ flips
+
+
+def _bundles(distinct: DataFrame, first: int, blocks: dict[int, int]) -> DataFrame:
+    """distinct (_set, _fps, root) -> rows of bundles; those in ``blocks`` are cut into so many blocks, and come once for each pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 10_000):
+                batch = whole.slice(at, 10_000)
+                ids, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                fps, out = np.array(batch.column(1).to_pylist(), np.int64), []
+                for number, keys in _bundle_keys(fps, first):
+                    rows = np.repeat(np.arange(len(ids)), keys.shape[1])
+                    order = np.argsort(keys.ravel(), kind="stable")
+                    flat, rows = keys.ravel()[order], rows[order]
+                    starts = np.flatnonzero(np.diff(flat, prepend=-1))
+                    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(flat)], strict=True):
+                        key, own = number << first | int(flat[low]), rows[low:high]
+                        m = blocks.get(key, 1)
+                        block = ids[own] % m
+                        for s in np.unique(block).tolist():
+                            some = own[block == s]
+                            packed = ids[some].tobytes(), fps[some, number >> 2].tobytes(), roots[some].tobytes()
+                            out += [(key, min(s, other), max(s, other), s, *packed) for other in range(m)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(),) * 4 + (pa.binary(),) * 3, strict=True)], ["key", "low", "high", "side", "ids", "fps", "roots"])
+
+    return distinct.select("_set", "_fps", "root").mapInArrow(run, BUNDLES)
+
+
+def _large_bundles(distinct: DataFrame, first: int) -> dict[int, int]:
+    """Numbers of blocks of the bundles with over ``MEMBERS`` members; there are at most 2^(first + 2) bundles for each fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, keys in _bundle_keys(np.array(batch.column(0).to_pylist(), np.int64).reshape(batch.num_rows, -1), first):
+                total[number] = total.get(number, 0) + np.bincount(keys.ravel(), minlength=1 << first)
+        for number, n in total.items():
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array((number << first | some).astype(np.int32)), pa.array(n[some])], ["key", "n"])
+
+    counted = distinct.select("_fps").mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > MEMBERS)
+    return {x["key"]: -(-2 * x["n"] // MEMBERS) for x in counted.collect()}
+
+
+def _laid_out(fps: np.ndarray, key: int, first: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of a bundle's members within ``bits`` (places x < y, and their distances), each once: in the first group of bits, and
+    the least cell, that have them within two steps."""
+    g, inner = (key >> first) & 3, 16 - first
+    own = fps >> (16 * g) & 0xFFFF
+    here = np.flatnonzero(own >> inner == key & ((1 << first) - 1))
+    cells = np.concatenate([own & ((1 << inner) - 1), *(own[here] & ((1 << inner) - 1) ^ (1 << i) for i in range(inner))]).astype(np.uint16)
+    place = np.concatenate([np.arange(len(fps)), *[here] * inner])
+    order = np.lexsort((place, cells))
+    cells, place = cells[order], place[order]
+    starts = np.flatnonzero(np.diff(cells.astype(np.int64), prepend=-1))
+    ends = np.append(starts[1:], len(cells))
+    prefix = (key & ((1 << first) - 1)) << inner
+
+    def kept(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """x, y: places in the order of the cells."""
+        cell, a, b = cells[x].astype(np.int64) | prefix, place[x], place[y]
+        apart = fps[a] ^ fps[b]
+        distance = np.bitwise_count(apart.view(np.uint64))
+        ok = (distance <= bits) & (a != b)
+        for before in range(g):
+            ok &= np.bitwise_count(apart >> (16 * before) & 0xFFFF) > 2
+        flips = apart >> (16 * g) & 0xFFFF
+        low = flips & -flips
+        high = flips ^ low  # 0, or for two flips the other one
+        ok &= cell == np.where(high == 0, np.minimum(own[a], own[b]), np.minimum(own[a] ^ low, own[a] ^ high))
+        return a[ok], b[ok], distance[ok].astype(np.int64)
+
+    short = ends - starts <= RUN
+    stop = np.repeat(np.where(short, ends, starts), ends - starts)
+    left = np.arange(len(cells))
+    for step in range(1, RUN):
+        left = left[left + step < stop[left]]
+        if not len(left):
+            break
+        for i in range(0, len(left), 1 << 18):
+            x = left[i : i + (1 << 18)]
+            near = np.bitwise_count((fps[place[x]] ^ fps[place[x + step]]).view(np.uint64)) <= bits
+            if near.any():
+                yield kept(x[near], x[near] + step)
+    for low, high in zip(starts[~short].tolist(), ends[~short].tolist(), strict=True):
+        f = fps[place[low:high]]
+        for i in range(0, len(f), 512):
+            for j in range(i, len(f), 2048):
+                x, y = np.nonzero(np.bitwise_count((f[i : i + 512, None] ^ f[None, j : j + 2048]).view(np.uint64)) <= bits)
+                ok = x + i < y + j
+                yield kept(x[ok] + (low + i), y[ok] + (low + j))
+
+
+def candidates(distinct: DataFrame, bits: int = NEAR_BITS, all_pairs: bool = True) -> DataFrame:
+    """distinct (_set, _fps, root) -> a, b, distance: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits.
+
+    ``all_pairs``: every pair of sets with different roots, perhaps more than once. Else for each set a, in each bundle, the nearest
+    such b and the least: every set with a candidate is in some row, and rows grow with the sets, not with their pairs.
+    """
     if not 0 <= bits <= 11:
         raise ValueError("one group within two steps holds for up to 11 bits")
+    first = min(12, max(3, (distinct.count() >> 15).bit_length()))
+
+    def found(key: int, split: bool, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, fps, roots = (np.concatenate([np.frombuffer(p[i], np.int64) for p in parts]) for i in (1, 2, 3))
+        side = np.repeat([p[0] for p in parts], [len(p[1]) // 8 for p in parts])
+        order = np.argsort(ids)
+        ids, fps, roots, side = ids[order], fps[order], roots[order], side[order]
+        nearest, least = np.full(len(ids), 2**62), np.arange(len(ids))
+        for x, y, distance in _laid_out(fps, key, first, bits):
+            ok = roots[x] != roots[y]
+            if split:
+                ok &= side[x] != side[y]
+            x, y, distance = x[ok], y[ok], distance[ok]
+            if all_pairs and len(x):
+                a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
+            elif len(x):
+                np.minimum.at(nearest, x, distance << 32 | y)
+                np.minimum.at(nearest, y, distance << 32 | x)
+                np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+        if not all_pairs:
+            some, more = np.flatnonzero(nearest < 2**62), np.flatnonzero(least < np.arange(len(ids)))
+            a, b = np.concatenate([some, more]), np.concatenate([nearest[some] & 0xFFFFFFFF, least[more]])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(np.concatenate([nearest[some] >> 32, np.full(len(more), 64)]))], ["a", "b", "distance"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(keys: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-            more = ends - starts > 1
-            for s, e in zip(starts[more].tolist(), ends[more].tolist(), strict=True):
-                for a, b in _paired(int(keys[s]), ids[s:e], fps[s:e], bits):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        held: list[list[np.ndarray]] = []
+        now, parts = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column(i).to_numpy() for i in range(3)]
-            if held and held[-1][0][-1] == now[0][-1]:  # a cell goes on; its rows wait
-                held.append(now)
-                continue
-            keys, ids, fps = (np.concatenate(x) for x in zip(*held, now, strict=True))
-            cut = int(np.searchsorted(keys, keys[-1]))
-            if cut:
-                yield from out(keys[:cut], ids[:cut], fps[:cut])
-            held = [[keys[cut:], ids[cut:], fps[cut:]]]
-        if held:
-            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-    cells = distinct.select("_set", "_fps").mapInArrow(_cells, "key int, _set long, fp long")
-    return cells.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+            for key, low, high, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, low, high) != now:
+                    if parts:
+                        yield from found(now[0], now[1] != now[2], parts)
+                    now, parts = (key, low, high), []
+                parts.append(rest)
+        if parts:
+            yield from found(now[0], now[1] != now[2], parts)
+
+    bundles = _bundles(distinct, first, _large_bundles(distinct, first)).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return bundles.mapInArrow(run, "a long, b long, distance long")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -248,30 +338,36 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
 
 
 def near_links(docs: DataFrame, distinct: DataFrame, text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: the stars of candidates
-    are verified first, then every candidate that these don't connect yet."""
-    pairs = written(candidates(distinct, bits), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("_set"))
-    needed = written(ends.distinct(), "needed")
+    """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: each set's nearest and
+    least candidates are verified first, then every candidate that these don't connect yet."""
+    alone = candidates(distinct.withColumn("root", F.col("_set")), bits, all_pairs=False)
+    chosen = alone.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("near"), F.min(F.when(F.col("distance") == 64, F.col("b"))).alias("least"))
+    chosen = written(chosen.select("a", F.explode(F.array_distinct(F.array("near.b", F.coalesce("least", "near.b")))).alias("b")), "chosen")
+    chosen = written(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    needed = written(chosen.select(F.explode(F.array("a", "b")).alias("_set")).distinct(), "needed")
     sets = written(_sets(docs.select(text_col), text_col, words_each, "_hashes").select("_set", "_hashes").join(needed, "_set", "left_semi").groupBy("_set").agg(F.first("_hashes").alias("_hashes")), "sets")
-    stars = written(similar(thinned(pairs).select(F.col("u").alias("a"), F.col("v").alias("b")).distinct(), sets, similarity), "stars")
-    root = components(stars)
-    for end in ("a", "b"):
-        pairs = pairs.join(root.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left")
-    rest = pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-    return written(stars.unionByName(similar(rest, sets, similarity)), "links")
+    links = written(similar(chosen, sets, similarity), "near")
+    root = components(links).withColumnRenamed("node", "_set")
+    left = written(distinct.join(needed, "_set", "left_semi").join(root, "_set", "left").select("_set", "_fps", F.coalesce("root", "_set").alias("root")), "left")
+    rest = candidates(left, bits).select("a", "b").distinct()
+    return written(links.unionByName(similar(rest, sets, similarity)), "links")
 
 
 def keep_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` with one row of each group of texts linked by Jaccard similarity, that with the smallest id (of equal ones, any text of one set); same columns."""
-    marked = written(_sets(docs.select(id_col, text_col), text_col, words_each, "_fps").select(id_col, "_set", "_fps"), "marked")
-    distinct = written(marked.groupBy("_set").agg(F.min(id_col).alias("least"), F.first("_fps").alias("_fps")), "distinct")
+    key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    narrow = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), F.col(text_col).alias("_text"))
+    marked = written(_sets(narrow, "_text", words_each, "_fps").select("_id", "_key", "_set", "_fps"), "marked")
+    distinct = written(marked.groupBy("_set").agg(F.min("_id").alias("least"), F.first("_fps").alias("_fps")), "distinct")
     found = components(near_links(docs, distinct, text_col, words_each, bits, similarity)).withColumnRenamed("node", "_set")
     rooted = distinct.join(found, "_set", "left").select("_set", F.coalesce("root", "_set").alias("root"), "least")
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "_set")).alias("x"))
-    chosen = best.select(F.col("x._set").alias("_kept_set"), F.col("x.least").alias("_kept_id"))
-    kept = _sets(docs, text_col, words_each, "").join(chosen, (F.col("_set") == F.col("_kept_set")) & F.col(id_col).eqNullSafe(F.col("_kept_id")))
-    first = F.row_number().over(Window.partitionBy("_set", id_col).orderBy(text_col))
+    chosen = best.select(F.col("x._set").alias("_set"), F.col("x.least").alias("_kept_id"))
+    # of rows with the same id and set, the text with the least MD5
+    chosen = marked.join(chosen, (marked["_set"] == chosen["_set"]) & F.col("_id").eqNullSafe(F.col("_kept_id"))).groupBy("_kept_id", chosen["_set"]).agg(F.min("_key").alias("_kept_key"))
+    chosen = written(chosen.select("_kept_id", "_kept_key"), "kept")
+    kept = docs.withColumn("_key", key).join(chosen, (F.col("_key") == F.col("_kept_key")) & F.col(id_col).eqNullSafe(F.col("_kept_id")))
+    first = F.row_number().over(Window.partitionBy("_key", id_col).orderBy(F.lit(0)))
     return kept.withColumn("_row", first).where("_row = 1").select(*docs.columns)
 
 

@@ -94,8 +94,10 @@ def jaccard_pairs(texts):
     return [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if 5 * len(x & y) >= 4 * len(x | y)]
 
 
-def test_candidates_against_all_pairs(llm):
+@pytest.mark.parametrize("members", [500_000, 30])
+def test_candidates_against_all_pairs(llm, monkeypatch, members):
     random.seed(5)
+    monkeypatch.setattr(simhash, "MEMBERS", members)
     fps = []
     for _ in range(60):
         x = random.getrandbits(64)
@@ -104,8 +106,24 @@ def test_candidates_against_all_pairs(llm):
             for bit in random.sample(range(64), random.randint(0, 14)):
                 y ^= 1 << bit
             fps.append(((y - 2**64 if y >> 63 else y), random.getrandbits(63)))
-    got = {tuple(r) for r in simhash.candidates(llm.createDataFrame([(i, list(x)) for i, x in enumerate(fps)], "_set long, _fps array<long>")).collect()}
-    assert got == {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if any(((p ^ q) % 2**64).bit_count() <= 11 for p, q in zip(x, y, strict=True))}
+    expected = {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if any(((p ^ q) % 2**64).bit_count() <= 11 for p, q in zip(x, y, strict=True))}
+    distinct = llm.createDataFrame([(i, list(x), i) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long")
+    assert {(r["a"], r["b"]) for r in simhash.candidates(distinct).collect()} == expected
+    some = [tuple(sorted((r["a"], r["b"]))) for r in simhash.candidates(distinct, all_pairs=False).collect()]
+    assert set(some) <= expected and {i for pair in some for i in pair} == {i for pair in expected for i in pair}
+    joined = distinct.selectExpr("_set", "_fps", "_set div 8 as root")
+    assert {(r["a"], r["b"]) for r in simhash.candidates(joined).collect()} == {(a, b) for a, b in expected if a // 8 != b // 8}
+
+
+def test_candidates_in_long_runs(llm, monkeypatch):
+    """Cells with more members than are compared row by row."""
+    random.seed(6)
+    base = random.getrandbits(63)
+    fps = [[base ^ sum(1 << b for b in random.sample(range(63), random.randint(0, 8)))] for _ in range(900)]
+    distinct = llm.createDataFrame([(i, x, i) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long")
+    pairs = [(r["a"], r["b"]) for r in simhash.candidates(distinct).collect()]
+    assert len(pairs) == len(set(pairs))  # one fingerprint finds a pair once
+    assert set(pairs) == {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if (x[0] ^ y[0]).bit_count() <= 11}
 
 
 def test_near_stage_against_brute_force(llm, sf_dir):
