@@ -16,7 +16,9 @@ distance; 4 groups of 16 segments have, within 11 bits, one group within 2. Ever
 from its own, so that such two share a cell. A pair over 11 bits apart in every fingerprint is missed (see README for the recall).
 Cells travel in bundles that share their first bits, and a task lays out the cells of one bundle; bundles with too many members are
 cut into blocks that meet pair by pair. Pairs of a group of near copies are never all made: each set first names its nearest and its
-least candidate, these are verified and joined, and only candidates of sets that are not joined yet are then verified as well.
+least candidate, these are verified and joined, and only candidates of sets that are not joined yet are then verified as well. Of
+these, a bitmap of each set tells at once those that cannot be similar: a bit that one set has and the other lacks is a shingle that
+they don't share.
 
 Edge cases: a text with fewer words than a shingle is one shingle, one without words (null, empty) has fingerprint zero and is
 linked like any other; repeated rows share a component; null ids are never the smallest unless all are null; an empty table
@@ -123,6 +125,22 @@ def shingles(data: bytes | None, words_each: int = NEAR_WORDS) -> np.ndarray:
     return np.unique(np.fromiter(map(xxh64_intdigest, map(b" ".join, found), repeat(SEED)), np.uint64))
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Number of a set's values, and a bitmap with a bit for each."""
+    bits = np.zeros(64 * (SKETCH - 1), np.uint8)
+    bits[(hashes >> np.uint64(40)).astype(np.int64) % len(bits)] = 1
+    return len(hashes).to_bytes(8, "little") + np.packbits(bits).tobytes()
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Rows of sketches -> False where the Jaccard similarity is certainly lower."""
+    apart = x[:, 1:] ^ y[:, 1:]
+    own = np.bitwise_count((apart & x[:, 1:]).view(np.uint64)).sum(1, dtype=np.int64)
+    other = np.bitwise_count((apart & y[:, 1:]).view(np.uint64)).sum(1, dtype=np.int64)
+    both = np.minimum(x[:, 0] - own, y[:, 0] - other)
+    return both >= similarity * (x[:, 0] + y[:, 0] - both) - 1e-9
+
+
 def set_id(hashes: np.ndarray) -> int:
     from xxhash import xxh64_intdigest
 
@@ -167,7 +185,9 @@ def _sets(docs: DataFrame, text_col: str, words_each: int, more: str) -> DataFra
 
 #: Members of a bundle of cells that one task lays out, at most; rows of a run that are compared at once.
 MEMBERS, RUN = 500_000, 128
-BUNDLES = "key int, low int, high int, side int, ids binary, fps binary, roots binary"
+BUNDLES = "key int, low int, high int, side int, ids binary, fps binary, roots binary, sketches binary"
+#: 64-bit words of a set's sketch: its size, and a bitmap of its values.
+SKETCH = 9
 
 
 def _bundle_keys(fps: np.ndarray, first: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -179,7 +199,7 @@ def _bundle_keys(fps: np.ndarray, first: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def _bundles(distinct: DataFrame, first: int, blocks: dict[int, int]) -> DataFrame:
-    """distinct (_set, _fps, root) -> rows of bundles; those in ``blocks`` are cut into so many blocks, and come once for each pair of blocks."""
+    """distinct (_set, _fps, root, sketch) -> rows of bundles; those in ``blocks`` are cut into so many blocks, and come once for each pair of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -187,6 +207,7 @@ def _bundles(distinct: DataFrame, first: int, blocks: dict[int, int]) -> DataFra
                 batch = whole.slice(at, 10_000)
                 ids, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
                 fps, out = np.array(batch.column(1).to_pylist(), np.int64), []
+                sketches = None if batch.column(3).null_count else np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64).reshape(-1, SKETCH)
                 for number, keys in _bundle_keys(fps, first):
                     rows = np.repeat(np.arange(len(ids)), keys.shape[1])
                     order = np.argsort(keys.ravel(), kind="stable")
@@ -198,11 +219,11 @@ def _bundles(distinct: DataFrame, first: int, blocks: dict[int, int]) -> DataFra
                         block = ids[own] % m
                         for s in np.unique(block).tolist():
                             some = own[block == s]
-                            packed = ids[some].tobytes(), fps[some, number >> 2].tobytes(), roots[some].tobytes()
+                            packed = ids[some].tobytes(), fps[some, number >> 2].tobytes(), roots[some].tobytes(), None if sketches is None else sketches[some].tobytes()
                             out += [(key, min(s, other), max(s, other), s, *packed) for other in range(m)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(),) * 4 + (pa.binary(),) * 3, strict=True)], ["key", "low", "high", "side", "ids", "fps", "roots"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(),) * 4 + (pa.binary(),) * 4, strict=True)], ["key", "low", "high", "side", "ids", "fps", "roots", "sketches"])
 
-    return distinct.select("_set", "_fps", "root").mapInArrow(run, BUNDLES)
+    return distinct.select("_set", "_fps", "root", "sketch").mapInArrow(run, BUNDLES)
 
 
 def _large_bundles(distinct: DataFrame, first: int) -> dict[int, int]:
@@ -263,17 +284,17 @@ def _laid_out(fps: np.ndarray, key: int, first: int, bits: int) -> Iterator[tupl
                 yield kept(x[near], x[near] + step)
     for low, high in zip(starts[~short].tolist(), ends[~short].tolist(), strict=True):
         f = fps[place[low:high]]
-        for i in range(0, len(f), 512):
-            for j in range(i, len(f), 2048):
-                x, y = np.nonzero(np.bitwise_count((f[i : i + 512, None] ^ f[None, j : j + 2048]).view(np.uint64)) <= bits)
+        for i in range(0, len(f), 128):
+            for j in range(i, len(f), 1024):
+                x, y = np.nonzero(np.bitwise_count((f[i : i + 128, None] ^ f[None, j : j + 1024]).view(np.uint64)) <= bits)
                 ok = x + i < y + j
                 yield kept(x[ok] + (low + i), y[ok] + (low + j))
 
 
-def candidates(distinct: DataFrame, bits: int = NEAR_BITS, all_pairs: bool = True) -> DataFrame:
-    """distinct (_set, _fps, root) -> a, b, distance: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits.
+def candidates(distinct: DataFrame, bits: int = NEAR_BITS, similarity: float | None = None) -> DataFrame:
+    """distinct (_set, _fps, root, sketch) -> a, b, distance: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits.
 
-    ``all_pairs``: every pair of sets with different roots, perhaps more than once. Else for each set a, in each bundle, the nearest
+    With a similarity: every pair of sets with different roots whose sketches allow it, perhaps more than once. Else for each set a, in each bundle, the nearest
     such b and the least: every set with a candidate is in some row, and rows grow with the sets, not with their pairs.
     """
     if not 0 <= bits <= 11:
@@ -285,20 +306,24 @@ def candidates(distinct: DataFrame, bits: int = NEAR_BITS, all_pairs: bool = Tru
         side = np.repeat([p[0] for p in parts], [len(p[1]) // 8 for p in parts])
         order = np.argsort(ids)
         ids, fps, roots, side = ids[order], fps[order], roots[order], side[order]
+        if similarity is not None:
+            sketches = np.concatenate([np.frombuffer(p[4], np.int64) for p in parts]).reshape(-1, SKETCH)[order]
         nearest, least = np.full(len(ids), 2**62), np.arange(len(ids))
         for x, y, distance in _laid_out(fps, key, first, bits):
             ok = roots[x] != roots[y]
             if split:
                 ok &= side[x] != side[y]
             x, y, distance = x[ok], y[ok], distance[ok]
-            if all_pairs and len(x):
+            if similarity is not None and len(x):
+                ok = may_be_similar(sketches[x], sketches[y], similarity)
+                x, y, distance = x[ok], y[ok], distance[ok]
                 a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
             elif len(x):
                 np.minimum.at(nearest, x, distance << 32 | y)
                 np.minimum.at(nearest, y, distance << 32 | x)
                 np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
-        if not all_pairs:
+        if similarity is None:
             some, more = np.flatnonzero(nearest < 2**62), np.flatnonzero(least < np.arange(len(ids)))
             a, b = np.concatenate([some, more]), np.concatenate([nearest[some] & 0xFFFFFFFF, least[more]])
             yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(np.concatenate([nearest[some] >> 32, np.full(len(more), 64)]))], ["a", "b", "distance"])
@@ -337,10 +362,20 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
     return joined.select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long")
 
 
+def _sketched(sets: DataFrame) -> DataFrame:
+    """sets (_set, _hashes) -> _set, sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sketch(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column(1)], pa.binary())], ["_set", "sketch"])
+
+    return sets.select("_set", "_hashes").mapInArrow(run, "_set long, sketch binary")
+
+
 def near_links(docs: DataFrame, distinct: DataFrame, text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
     """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: each set's nearest and
     least candidates are verified first, then every candidate that these don't connect yet."""
-    alone = candidates(distinct.withColumn("root", F.col("_set")), bits, all_pairs=False)
+    alone = candidates(distinct.withColumn("root", F.col("_set")).withColumn("sketch", F.lit(None).cast("binary")), bits)
     chosen = alone.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("near"), F.min(F.when(F.col("distance") == 64, F.col("b"))).alias("least"))
     chosen = written(chosen.select("a", F.explode(F.array_distinct(F.array("near.b", F.coalesce("least", "near.b")))).alias("b")), "chosen")
     chosen = written(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
@@ -348,8 +383,8 @@ def near_links(docs: DataFrame, distinct: DataFrame, text_col: str = "text", wor
     sets = written(_sets(docs.select(text_col), text_col, words_each, "_hashes").select("_set", "_hashes").join(needed, "_set", "left_semi").groupBy("_set").agg(F.first("_hashes").alias("_hashes")), "sets")
     links = written(similar(chosen, sets, similarity), "near")
     root = components(links).withColumnRenamed("node", "_set")
-    left = written(distinct.join(needed, "_set", "left_semi").join(root, "_set", "left").select("_set", "_fps", F.coalesce("root", "_set").alias("root")), "left")
-    rest = candidates(left, bits).select("a", "b").distinct()
+    left = _sketched(sets).join(distinct, "_set").join(root, "_set", "left").select("_set", "_fps", F.coalesce("root", "_set").alias("root"), "sketch")
+    rest = candidates(written(left, "left"), bits, similarity).select("a", "b").distinct()
     return written(links.unionByName(similar(rest, sets, similarity)), "links")
 
 

@@ -107,12 +107,26 @@ def test_candidates_against_all_pairs(llm, monkeypatch, members):
                 y ^= 1 << bit
             fps.append(((y - 2**64 if y >> 63 else y), random.getrandbits(63)))
     expected = {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if any(((p ^ q) % 2**64).bit_count() <= 11 for p, q in zip(x, y, strict=True))}
-    distinct = llm.createDataFrame([(i, list(x), i) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long")
-    assert {(r["a"], r["b"]) for r in simhash.candidates(distinct).collect()} == expected
-    some = [tuple(sorted((r["a"], r["b"]))) for r in simhash.candidates(distinct, all_pairs=False).collect()]
+    distinct = llm.createDataFrame([(i, list(x), i, bytearray(8 * simhash.SKETCH)) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long, sketch binary")
+    assert {(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8).collect()} == expected
+    some = [tuple(sorted((r["a"], r["b"]))) for r in simhash.candidates(distinct).collect()]
     assert set(some) <= expected and {i for pair in some for i in pair} == {i for pair in expected for i in pair}
-    joined = distinct.selectExpr("_set", "_fps", "_set div 8 as root")
-    assert {(r["a"], r["b"]) for r in simhash.candidates(joined).collect()} == {(a, b) for a, b in expected if a // 8 != b // 8}
+    joined = distinct.selectExpr("_set", "_fps", "_set div 8 as root", "sketch")
+    assert {(r["a"], r["b"]) for r in simhash.candidates(joined, similarity=0.8).collect()} == {(a, b) for a, b in expected if a // 8 != b // 8}
+
+
+def test_sketches_only_exclude_what_is_not_similar():
+    rng = np.random.default_rng(2)
+    excluded = 0
+    for n in (1, 5, 150, 4000):
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            y = np.unique(np.concatenate([x[rng.random(len(x)) > rng.random() * 0.4], rng.integers(0, 2**64, int(rng.random() * 0.3 * n), np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            may = simhash.may_be_similar(*(np.frombuffer(simhash.sketch(s), np.int64)[None] for s in (x, y)), 0.8)[0]
+            assert may or both < 0.8 * (len(x) + len(y) - both)
+            excluded += not may
+    assert excluded > 60
 
 
 def test_candidates_in_long_runs(llm, monkeypatch):
@@ -120,8 +134,8 @@ def test_candidates_in_long_runs(llm, monkeypatch):
     random.seed(6)
     base = random.getrandbits(63)
     fps = [[base ^ sum(1 << b for b in random.sample(range(63), random.randint(0, 8)))] for _ in range(900)]
-    distinct = llm.createDataFrame([(i, x, i) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long")
-    pairs = [(r["a"], r["b"]) for r in simhash.candidates(distinct).collect()]
+    distinct = llm.createDataFrame([(i, x, i, bytearray(8 * simhash.SKETCH)) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long, sketch binary")
+    pairs = [(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8).collect()]
     assert len(pairs) == len(set(pairs))  # one fingerprint finds a pair once
     assert set(pairs) == {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if (x[0] ^ y[0]).bit_count() <= 11}
 
