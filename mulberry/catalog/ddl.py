@@ -72,7 +72,7 @@ def drop_column(spark: SparkSession, table: str, name: str) -> None:
 
 
 def rename_column(spark: SparkSession, table: str, name: str, new: str) -> None:
-    rewrite(spark, table, lambda df: df.withColumnRenamed(name, new))
+    rewrite(spark, table, lambda df: df.withColumnRenamed(name, new), {name: new})
 
 
 def modify_column(spark: SparkSession, table: str, name: str, kind: str) -> None:

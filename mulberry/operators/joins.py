@@ -48,7 +48,8 @@ def first_per_key(right: DataFrame, keys: list[str], order_by: list[str]) -> Dat
 
 def ch_join(left: DataFrame, right: DataFrame, on: Column | None = None, *, isouter: bool = False, full: bool = False, cross: bool = False, using: list[str] | None = None,
             strictness: str | None = None, distribution: str | None = None, defaults: bool = False, order_by: list[str] | None = None) -> DataFrame:
-    """Join by condition or USING. ``order_by`` says which right row ANY keeps. GLOBAL broadcasts the right side if it is small enough."""
+    """Join by condition or USING. ``order_by`` says which right row ANY keeps. GLOBAL broadcasts the right side if it is small enough.
+    ``defaults``: cells of the side that has no match take their type's default; nulls of matched rows stay."""
     _check(on, isouter, full, cross, using, strictness, distribution)
     if cross:
         return left.crossJoin(right)
@@ -61,12 +62,15 @@ def ch_join(left: DataFrame, right: DataFrame, on: Column | None = None, *, isou
     if distribution == "GLOBAL" and size_estimate(right) <= BROADCAST_BYTES:
         right = F.broadcast(right)
     how = {"SEMI": "left_semi", "ANTI": "left_anti"}.get(strictness or "", "full" if full else "left" if isouter else "inner")
-    out = left.join(right, using if using else on, how)
-    if defaults and how in ("left", "full"):
-        named = [c for c in right.columns if c not in (using or [])]
-        named += [c for c in left.columns if how == "full" and c not in (using or [])]
-        out = with_defaults(out, named)
-    return out
+    if not (defaults and how in ("left", "full")):
+        return left.join(right, using if using else on, how)
+    # marks of both sides tell cells without a match from nulls of the tables, which stay
+    out = left.withColumn("_in_left", F.lit(True)).join(right.withColumn("_in_right", F.lit(True)), using if using else on, how)
+    own, others = ([c for c in side.columns if c not in (using or [])] for side in (left, right))
+    out = with_defaults(out, others, F.col("_in_right").isNull())
+    if how == "full":
+        out = with_defaults(out, own, F.col("_in_left").isNull())
+    return out.drop("_in_left", "_in_right")
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: str, right_order: str, *, op: str = ">=", isouter: bool = False, bucket: Column | None = None, defaults: bool = False) -> DataFrame:
@@ -75,7 +79,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: st
     Both sides are shuffled once by key into one ordered run, in which the last right row seen is carried along. ``bucket`` (an
     expression of the column ``_t``, non-decreasing with it) divides a key's run into pieces that are ordered apart; the last right
     row of each piece is handed to later pieces, so that a hot key is no single task. Right rows with equal keys and order: the
-    greatest by the other columns.
+    greatest by the other columns. A null key or order matches nothing, on either side. ``defaults``: as in ``ch_join``.
     """
     if op not in (">=", ">", "<=", "<"):
         raise ValueError(f"no such comparison: {op}")
@@ -87,7 +91,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: st
     own = F.struct(*[F.col(c) for c in left.columns])
     shape = right.select(F.struct(*payload).alias("_r")).schema["_r"].dataType
     lefts = left.select(*keys, F.col(left_order).alias("_t"), F.lit(0 if op in (">", "<") else 1).alias("_side"), own.alias("_l"), F.lit(None).cast(shape).alias("_r"))
-    rights = right.where(F.col(right_order).isNotNull()).select(*keys, F.col(right_order).alias("_t"), F.lit(1 if op in (">", "<") else 0).alias("_side"), F.lit(None).cast(lefts.schema["_l"].dataType).alias("_l"), F.struct(*payload).alias("_r"))
+    whole = F.lit(True)
+    for c in keys:
+        whole = whole & F.col(c).isNotNull()
+    rights = right.where(whole & F.col(right_order).isNotNull()).select(*keys, F.col(right_order).alias("_t"), F.lit(1 if op in (">", "<") else 0).alias("_side"), F.lit(None).cast(lefts.schema["_l"].dataType).alias("_l"), F.struct(*payload).alias("_r"))
     both = lefts.unionByName(rights)
     order = [F.col("_t").asc() if back else F.col("_t").desc(), F.col("_side").asc(), F.col("_r").asc_nulls_first()]
     if bucket is None:
@@ -104,8 +111,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: st
         over = Window.partitionBy(*keys).orderBy(F.col("_b").asc() if back else F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
         carried = pieces.select(*keys, "_b", F.last("_last", ignorenulls=True).over(over)["_r"].alias("_before"))
         matched = near.join(carried, [*keys, "_b"], "left").withColumn("_m", F.coalesce("_m", "_before"))
-    out = matched.where("_l is not null")
+    out = matched.where("_l is not null").withColumn("_m", F.when(whole & F.col("_t").isNotNull(), F.col("_m")))
     if not isouter:
         out = out.where("_m is not null")
-    out = out.select("_l.*", *[F.col(f"_m.{c}").alias(c) for c in payload])
-    return with_defaults(out, payload) if defaults else out
+    out = out.select("_l.*", *[F.col(f"_m.{c}").alias(c) for c in payload], F.col("_m").isNull().alias("_alone"))
+    return (with_defaults(out, payload, F.col("_alone")) if defaults else out).drop("_alone")

@@ -26,11 +26,11 @@ def _ratio(text: str) -> Fraction:
     return Fraction(text.strip())
 
 
-def sample(df: DataFrame, amount: float | int | str, key: str | None = None, modulus: int = 1 << 20, seed: int = 42) -> DataFrame:
+def sample(df: DataFrame, amount: float | int | str, key: str | None = None, seed: int = 42) -> DataFrame:
     """A fraction, a number of rows, or 'a/b [OFFSET c/d]'.
 
-    With a key the sample is a range of the key's value modulo ``modulus``, so it is the same each time and joins with other samples
-    of the key; without one it is drawn by seed. A number of rows becomes the fraction that it is of all rows.
+    With a key the sample is a range of 52 bits of the MD5 of the key as text, so it is the same each time, joins with other samples
+    of the key and is even whatever the keys are (a null key counts as empty text); without one it is drawn by seed. A number of rows becomes the fraction that it is of all rows.
     """
     offset = Fraction(0)
     if isinstance(amount, str):
@@ -50,8 +50,9 @@ def sample(df: DataFrame, amount: float | int | str, key: str | None = None, mod
         if offset:
             raise ValueError("an offset needs a sampling key")
         return df.sample(fraction=float(part), seed=seed)
-    place = F.pmod(F.col(key), F.lit(modulus))
-    return df.where((place >= float(offset * modulus)) & (place < float((offset + part) * modulus)))
+    bits = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10)
+    place = bits.cast("double") / float(1 << 52)
+    return df.where((place >= float(offset)) & (place < float(offset + part)))
 
 
 def prewhere(df: DataFrame, *conditions: Column) -> DataFrame:

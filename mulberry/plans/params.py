@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ..types import spark_type
 
-_SERVER = re.compile(r"\{\s*(\w+)\s*:\s*([^{}]+?)\s*\}")
-_CLIENT = re.compile(r"%\((\w+)\)s")
+_SERVER = r"\{\s*(?P<name>\w+)\s*:\s*(?P<kind>[^{}]+?)\s*\}"
+_CLIENT = r"%\((?P<name>\w+)\)s"
 _COMMENT = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`)|(--[^\n]*|/\*.*?\*/)", re.S)
+_QUOTED = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`"
 _WORDS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`|\w+|\S")
 
 
@@ -59,8 +61,14 @@ def literal(value: Any) -> Any:
     return value
 
 
+def _outside(marker: str, replaced: Callable[[re.Match], str], sql: str) -> str:
+    """Replace what matches, but for quoted text."""
+    return re.sub(f"(?P<quoted>{_QUOTED})|{marker}", lambda m: m[0] if m["quoted"] else replaced(m), sql, flags=re.S)
+
+
 def bound(sql: str, parameters: dict[str, Any] | list | tuple | None = None) -> tuple[str, dict[str, Any]]:
-    """SQL with ``{name:Type}``, ``{name:Identifier}``, ``%(name)s`` or ``%s`` -> SQL with ``:name`` markers, and the arguments."""
+    """SQL with ``{name:Type}``, ``{name:Identifier}``, ``%(name)s`` or ``%s`` -> SQL with ``:name`` markers, and the arguments.
+    What looks like a marker inside quoted text or a quoted name stays as it is."""
     args: dict[str, Any] = {}
     if isinstance(parameters, (list, tuple)):
         values = iter(enumerate(parameters))
@@ -70,11 +78,11 @@ def bound(sql: str, parameters: dict[str, Any] | list | tuple | None = None) ->
             args[f"p{i}"] = literal(value)
             return f":p{i}"
 
-        return re.sub(r"%s", positional, sql), args
+        return _outside("%s", positional, sql), args
     given = parameters or {}
 
     def typed(m: re.Match) -> str:
-        name, kind = m[1], m[2]
+        name, kind = m["name"], m["kind"]
         if name not in given:
             raise ValueError(f"no value for parameter {name}")
         value = given[name]
@@ -85,12 +93,13 @@ def bound(sql: str, parameters: dict[str, Any] | list | tuple | None = None) ->
         return f"CAST(:{name} AS {spark_type(kind).simpleString()})"
 
     def untyped(m: re.Match) -> str:
-        if m[1] not in given:
-            raise ValueError(f"no value for parameter {m[1]}")
-        args[m[1]] = literal(given[m[1]])
-        return f":{m[1]}"
+        name = m["name"]
+        if name not in given:
+            raise ValueError(f"no value for parameter {name}")
+        args[name] = literal(given[name])
+        return f":{name}"
 
-    return _CLIENT.sub(untyped, _SERVER.sub(typed, sql)), args
+    return _outside(_CLIENT, untyped, _outside(_SERVER, typed, sql)), args
 
 
 def query(spark: SparkSession, sql: str, parameters: dict[str, Any] | list | tuple | None = None, limit: int = 0) -> DataFrame:

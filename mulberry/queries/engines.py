@@ -9,9 +9,9 @@ from ..catalog.engines import Engine, parse_engine, read as merged
 from .base import query, read
 
 
-@query("eng_mergetree", "SELECT o_orderkey FROM orders WHERE o_orderkey < 100")
+@query("eng_mergetree", "SELECT o_orderkey, o_totalprice FROM orders")
 def mergetree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merged(read(spark, sf_dir, "orders"), Engine("MergeTree", order_by=("o_orderkey",))).where("o_orderkey < 100").select("o_orderkey")
+    return merged(read(spark, sf_dir, "orders"), Engine("MergeTree", order_by=("o_orderkey",))).select("o_orderkey", "o_totalprice")
 
 
 @query("eng_replacing", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error'")

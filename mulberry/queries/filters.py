@@ -22,9 +22,9 @@ def filter_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").where("o_totalprice > 100000 and o_orderstatus = 'O'").select("o_orderkey")
 
 
-@query("prewhere", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey < 500 AND o_totalprice > 50000")
+@query("prewhere", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice > 50000")
 def prewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = select(read(spark, sf_dir, "orders")).where(F.col("o_totalprice") > 50000).prewhere(F.col("o_orderstatus") == "F").prewhere(F.col("o_custkey") < 500)
+    s = select(read(spark, sf_dir, "orders")).where(F.col("o_totalprice") > 50000).prewhere(F.col("o_orderstatus") == "F").prewhere(F.col("o_orderpriority") == "1-URGENT")
     return s.columns("o_orderkey").frame()
 
 
@@ -104,12 +104,12 @@ def filter_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").where(F.col("p_type").ilike("%eco%") & ~F.col("p_name").ilike("PART 1%")).select("p_partkey")
 
 
-@query("cast", "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, CAST(l_linenumber AS VARCHAR) AS n FROM lineitem WHERE l_orderkey < 500")
+@query("cast", "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, CAST(l_linenumber AS VARCHAR) AS n FROM lineitem")
 def cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..types import spark_type
 
     c = lambda name, kind: F.col(name).cast(spark_type(kind))
-    return read(spark, sf_dir, "lineitem").where("l_orderkey < 500").select("l_orderkey", "l_linenumber", c("l_quantity", "Int64").alias("q"), c("l_linenumber", "String").alias("n"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c("l_quantity", "Int64").alias("q"), c("l_linenumber", "String").alias("n"))
 
 
 @query("bind_client", "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 500.5")
@@ -118,10 +118,17 @@ def bind_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return params.query(spark, "SELECT c_custkey FROM customer WHERE c_mktsegment = %(seg)s AND c_acctbal > %(low)s", {"seg": "BUILDING", "low": 500.5})
 
 
-@query("bind_server", "SELECT o_orderkey FROM orders WHERE o_custkey < 300 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus = 'O'")
+@query("bind_server", "SELECT o_orderkey FROM orders WHERE o_totalprice > 150000 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus = 'O'")
 def bind_server(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "orders")
-    return params.query(spark, "SELECT {c:Identifier} FROM {t:Identifier} WHERE o_custkey < {k:UInt32} AND o_orderdate >= {d:DateTime} AND o_orderstatus = {s:String} -- all bound", {"c": "o_orderkey", "t": "orders", "k": 300, "d": dt.datetime(1996, 1, 1), "s": "O"})
+    return params.query(spark, "SELECT {c:Identifier} FROM {t:Identifier} WHERE o_totalprice > {k:UInt32} AND o_orderdate >= {d:DateTime} AND o_orderstatus = {s:String} -- all bound", {"c": "o_orderkey", "t": "orders", "k": 150_000, "d": dt.datetime(1996, 1, 1), "s": "O"})
+
+
+@query("bind_quoted", "SELECT c_custkey, '100%s {x:UInt8} %(y)s' AS note FROM customer WHERE c_mktsegment = 'BUILDING'")
+def bind_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers inside quoted text are text."""
+    views(spark, sf_dir, "customer")
+    return params.query(spark, "SELECT c_custkey, '100%s {x:UInt8} %(y)s' AS note FROM customer WHERE c_mktsegment = {seg:String}", {"seg": "BUILDING"})
 
 
 @query("bind_in_array", "SELECT n_name FROM nation WHERE n_nationkey IN (2, 4, 8)")

@@ -136,6 +136,28 @@ def join_asof_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(p, v, ["user_id"], "ts", "view_ts", op="<", isouter=True, bucket=F.date_trunc("day", "_t")).select("event_id", "user_id", "view_id")
 
 
+_NULLS_L = "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS t FROM orders"
+_NULLS_R = "SELECT CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS k, max(CASE WHEN c_acctbal > 0 THEN c_name END) AS name FROM customer GROUP BY 1"
+
+
+@query("join_left_nulls", f"SELECT o_orderkey, l.k, CASE WHEN r.k IS NULL THEN '' ELSE name END AS name FROM ({_NULLS_L}) l LEFT JOIN ({_NULLS_R}) r ON l.k = r.k")
+def join_left_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null keys meet nothing; a null of a matched row stays null, a cell without a match takes the default."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"))
+    c = read(spark, sf_dir, "customer").groupBy(F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_custkey")).alias("k")).agg(F.max(F.when(F.col("c_acctbal") > 0, F.col("c_name"))).alias("name"))
+    return ch_join(o, c, using=["k"], isouter=True, defaults=True).select("o_orderkey", "k", "name")
+
+
+@query("join_asof_nulls", f"SELECT o_orderkey, k, CASE WHEN before IS NULL THEN 0 ELSE amount END AS amount FROM (SELECT l.o_orderkey, l.k, r.t AS before, r.amount FROM ({_NULLS_L}) l ASOF LEFT JOIN (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k, o_orderdate AS t, max(CASE WHEN o_totalprice > 100000 THEN o_totalprice END) AS amount FROM orders WHERE o_orderstatus = 'F' OR o_orderstatus = 'P' GROUP BY 1, 2) r ON l.k = r.k AND l.t > r.t)")
+def join_asof_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order before each; null keys and null times match nothing, nulls of the matched row stay."""
+    k = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k")
+    orders = read(spark, sf_dir, "orders")
+    left = orders.select("o_orderkey", k, F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("t"))
+    right = orders.where("o_orderstatus in ('F', 'P')").groupBy(k, F.col("o_orderdate").alias("before")).agg(F.max(F.when(F.col("o_totalprice") > 100000, F.col("o_totalprice"))).alias("amount"))
+    return asof_join(left, right, ["k"], "t", "before", op=">", isouter=True, defaults=True, bucket=F.date_trunc("month", "_t")).select("o_orderkey", "k", "amount")
+
+
 @query("join_global", "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def join_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, n = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "nation")

@@ -73,6 +73,23 @@ def src_file_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(wrapped(F.col("a"), 8).alias("a"), "b")
 
 
+@query("src_file_csv", "SELECT n_nationkey, n_name FROM nation")
+def src_file_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as compressed CSV to the shared folder, and read back."""
+    from ..sinks.tables import shared_path
+
+    path = shared_path(spark, "csv")
+    read(spark, sf_dir, "nation").select("n_nationkey", "n_name").write.option("header", True).option("compression", "gzip").csv(path)
+    return src.read_file(spark, path, "CSVWithNames", "n_nationkey Int32, n_name String")
+
+
+@query("src_dictionary_nulls", "SELECT n_name, CASE WHEN r_regionkey IS NULL THEN '' ELSE label END AS label FROM nation LEFT JOIN (SELECT r_regionkey, CASE WHEN r_regionkey <> 1 THEN r_name END AS label FROM region WHERE r_regionkey < 4) ON n_regionkey = r_regionkey")
+def src_dictionary_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A missing key gives the default, a null value of a key that is there stays null."""
+    labels = read(spark, sf_dir, "region").where("r_regionkey < 4").select("r_regionkey", F.when(F.col("r_regionkey") != 1, F.col("r_name")).alias("label"))
+    return src.Dictionary(labels, ["r_regionkey"]).lookup(read(spark, sf_dir, "nation"), {"r_regionkey": "n_regionkey"}).select("n_name", "label")
+
+
 @query("src_dictionary", "SELECT c_custkey, coalesce(r_name, '') AS r_name FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 4) ON n_regionkey = r_regionkey")
 def src_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = src.Dictionary(read(spark, sf_dir, "region").where("r_regionkey < 4"), ["r_regionkey"])
@@ -102,5 +119,5 @@ def src_file_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_distributed", "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1")
 def src_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dealt out by the sharding key, which the aggregation then needs no other shuffle for."""
-    return read(spark, sf_dir, "lineitem").select("l_orderkey").repartition("l_orderkey").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    """Counts are added up where the rows are and dealt out by the sharding key."""
+    return read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))

@@ -105,6 +105,36 @@ def alter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_table(spark, "a Int64, b Int32, d String", work)
 
 
+def _kept_by(spark: SparkSession, sf_dir: str, change: Callable[[str], object]) -> DataFrame:
+    """Partition columns, comments and properties of a table over nation after a change that writes it anew, and its number of rows."""
+    name = f"t_{uuid.uuid4().hex}"
+    create_table(spark, name, "n_nationkey Int32, n_name String, n_regionkey Int32", Engine("MergeTree", order_by=("n_nationkey",), partition_by=("n_regionkey",)), comment="it's")
+    try:
+        tables.insert_frame(read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), name)
+        ddl.comment_column(spark, name, "n_name", "a name")
+        change(name)
+        found = ddl.reflect(spark, name)
+        rows = [("comment", spark.catalog.getTable(name).description or ""), ("rows", str(spark.table(name).count()))]
+        rows += [("partition", c.name) for c in spark.catalog.listColumns(name) if c.isPartition] + [("column", f"{n}: {x}") for n, _, _, x in found["columns"] if x]
+        rows += [(k, v) for k, v in found["properties"].items() if k.startswith(("setting.", "parquet.")) or k == "engine.name"]
+        return spark.createDataFrame(rows, "name string, value string")
+    finally:
+        ddl.drop_table(spark, name)
+
+
+_KEPT = "SELECT name, value FROM (VALUES ('comment', 'it''s'), ('partition', 'n_regionkey'), ('column', 'n_name: a name'), ('engine.name', 'MergeTree'), {}) t(name, value) UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM nation"
+
+
+@query("alter_index", _KEPT.format("('parquet.bloom.filter.enabled#n_name', 'true')"))
+def alter_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_by(spark, sf_dir, lambda t: ddl.add_skip_index(spark, t, ["n_name"]))
+
+
+@query("alter_settings", _KEPT.format("('setting.ttl_only_drop_parts', '1')"))
+def alter_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_by(spark, sf_dir, lambda t: (ddl.modify_settings(spark, t, ttl_only_drop_parts=1, index_granularity=1024), ddl.reset_settings(spark, t, "index_granularity"), ddl.modify_column(spark, t, "n_nationkey", "Int64")))
+
+
 @query("ddl_reflect", "SELECT name, kind FROM (VALUES ('a', 'bigint'), ('b', 'string')) t(name, kind)")
 def reflect(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"t_{uuid.uuid4().hex}"

@@ -111,16 +111,27 @@ def create_as_empty(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.limit(0).write.format(fmt).saveAsTable(table)
 
 
+def _shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only where it is unset, as in tests, a folder of our own."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None:
+        import tempfile
+
+        where = tempfile.mkdtemp(prefix="mulberry-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_shared_dir(spark)}/mulberry/{name}-{uuid.uuid4().hex}"
+
+
 def _staged(df: DataFrame) -> DataFrame:
     """A reliable copy in the shared checkpoint folder, so that a table may be written over from itself."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if where is None:  # only where no shared folder is named, as in tests
-            import tempfile
-
-            where = tempfile.mkdtemp(prefix="mulberry-")
-        sc.setCheckpointDir(where)
+        sc.setCheckpointDir(_shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -136,12 +147,33 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {ident(table)}")
 
 
-def rewrite(spark: SparkSession, table: str, change: Any) -> None:
-    """Replace a table by ``change`` of its rows, which may alter columns: a staged copy under a new name takes the old one's."""
-    new = f"{table}_{uuid.uuid4().hex[:8]}"
-    described = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ident(table)}").collect() if r["key"].startswith("engine.")}
-    change(spark.table(table)).write.format("parquet").saveAsTable(new)
-    spark.sql(f"DROP TABLE {ident(table)}")
+def rewrite(spark: SparkSession, table: str, change: Any, renamed: dict[str, str] | None = None) -> None:
+    """Replace a table by ``change`` of its rows, which may alter columns; partitions, properties and comments stay.
+
+    A copy is written under a new name; then the old table is renamed away, the copy takes its name, and the old one is dropped, so
+    that the rows are in some table at any moment. ``renamed``: old names of columns -> new ones.
+    """
+    renamed, new, old = renamed or {}, f"{table}_{uuid.uuid4().hex[:8]}", f"{table}_{uuid.uuid4().hex[:8]}"
+    text = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ident(table)}").collect()}
+    properties = {k: v for k, v in properties.items() if k not in ("comment", "transient_lastDdlTime") and not k.startswith("spark.sql.")}
+    comment = spark.catalog.getTable(table).description
+    columns = [(renamed.get(c.name, c.name), c.description, c.isPartition) for c in spark.catalog.listColumns(table)]
+    rows = change(spark.table(table))
+    # files follow the table's Parquet settings, as Bloom filters
+    writer = rows.write.format("parquet").options(**{k: v for k, v in properties.items() if k.startswith("parquet.")})
+    partitions = [c for c, _, parted in columns if parted and c in rows.columns]
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(new)
+    if properties:
+        spark.sql(f"ALTER TABLE {ident(new)} SET TBLPROPERTIES ({', '.join(f'{text(k)} = {text(v)}' for k, v in properties.items())})")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {ident(new)} IS {text(comment)}")
+    for name, described, _ in columns:
+        if described and name in rows.columns:
+            spark.sql(f"ALTER TABLE {ident(new)} ALTER COLUMN `{name.replace('`', '``')}` COMMENT {text(described)}")
+    spark.sql(f"ALTER TABLE {ident(table)} RENAME TO {ident(old)}")
     spark.sql(f"ALTER TABLE {ident(new)} RENAME TO {ident(table)}")
-    if described:
-        spark.sql(f"ALTER TABLE {ident(table)} SET TBLPROPERTIES ({', '.join(f'{chr(39)}{k}{chr(39)} = {chr(39)}{v}{chr(39)}' for k, v in described.items())})")
+    if partitions:  # a rename moves files, and leaves the places of partitions as they were
+        for what in ("DROP", "ADD"):
+            spark.sql(f"MSCK REPAIR TABLE {ident(table)} {what} PARTITIONS")
+    spark.sql(f"DROP TABLE {ident(old)}")

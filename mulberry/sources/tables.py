@@ -140,32 +140,34 @@ class External:
 
 
 class Dictionary:
-    """A key-value table for lookups. Joined by broadcast while Spark's estimate of its size is below the bound, else by shuffle."""
+    """A key-value table for lookups. Joined by broadcast while Spark's estimate of its size is below the bound, else by shuffle.
+    Of rows with one key that with the least values counts. A missing key gives defaults; null values of a key stay null."""
 
     def __init__(self, df: DataFrame, key: list[str], most: int = 64 << 20):
         self.key, self.most = key, most
         self.values = [c for c in df.columns if c not in key]
-        self.df = df.dropDuplicates(key).persist()
+        self.reload(df)
 
     def lookup(self, df: DataFrame, on: dict[str, str], defaults: bool = True) -> DataFrame:
         from ..operators.joins import size_estimate
         from ..types import with_defaults
 
-        table = self.df.select(*[F.col(k).alias(f"_k_{k}") for k in self.key], *self.values)
+        table = self.df.select(*[F.col(k).alias(f"_k_{k}") for k in self.key], *self.values, F.lit(True).alias("_found"))
         table = F.broadcast(table) if size_estimate(self.df) <= self.most else table
         condition = None
         for k in self.key:
             part = df[on[k]] == table[f"_k_{k}"]
             condition = part if condition is None else condition & part
         out = df.join(table, condition, "left").drop(*[f"_k_{k}" for k in self.key])
-        return with_defaults(out, self.values) if defaults else out
+        return (with_defaults(out, self.values, F.col("_found").isNull()) if defaults else out).drop("_found")
 
     def reload(self, df: DataFrame) -> None:
-        self.df.unpersist()
-        self.df = df.dropDuplicates(self.key).persist()
+        from ..operators.joins import first_per_key
+
+        self.df = first_per_key(df, self.key, [])
 
     def drop(self) -> None:
-        self.df.unpersist()
+        self.df = self.df.limit(0)
 
 
 def merge_tables(spark: SparkSession, pattern: str, database: str | None = None) -> DataFrame:

@@ -112,10 +112,11 @@ def default_of(kind: T.DataType) -> Column:
     return F.lit(0).cast(kind)
 
 
-def with_defaults(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Null cells of these columns take their type's default."""
+def with_defaults(df: DataFrame, columns: list[str], where: Column | None = None) -> DataFrame:
+    """Null cells of these columns take their type's default, in the rows ``where`` holds (all, if not given)."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), default_of(kinds[c])) for c in columns})
+    filled = {c: F.coalesce(F.col(f"`{c}`"), default_of(kinds[c])) for c in columns}
+    return df.withColumns(filled if where is None else {c: F.when(where, x).otherwise(F.col(f"`{c}`")) for c, x in filled.items()})
 
 
 def checked(column: Column, name: str) -> Column:
