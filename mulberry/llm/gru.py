@@ -1,6 +1,6 @@
 """A gated recurrent language model in numpy, with class-factored output and truncated backpropagation through time.
 
-Token 0 is the end (and, as an input, the start) of a document, token 1 stands for all words out of the vocabulary, the others are
+Token 0 is the end (and, as an input, the start) of a document, the next ones stand for words out of the vocabulary, the others are
 words by falling frequency. Tokens are cut into classes of about equal sums of square roots of counts; the probability of a token
 is that of its class times its own within the class. Output biases start at the unigram frequencies.
 """
@@ -13,7 +13,7 @@ import numpy as np
 
 EMBED, HIDDEN, CLASSES = 16, 24, 64
 #: Streams trained side by side, and steps that gradients are carried back.
-LANES, STEPS = 512, 32
+LANES, STEPS = 128, 32
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -64,8 +64,13 @@ class Gru:
         gates_h = h @ self.p["wh"]
         zr = sigmoid(gates_x[:, : 2 * HIDDEN] + gates_h[:, : 2 * HIDDEN])
         z, r, hn = zr[:, :HIDDEN], zr[:, HIDDEN:], gates_h[:, 2 * HIDDEN :]
-        n = np.tanh(gates_x[:, 2 * HIDDEN :] + r * hn)
-        return n + z * (h - n), z, r, n, hn
+        n = r * hn
+        n += gates_x[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, hn
 
     def output(self, h: np.ndarray, target: np.ndarray, back: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of the targets; with ``back``, adds gradients there and returns that of ``h``."""
@@ -76,26 +81,34 @@ class Gru:
         out = np.log(e[rows, own]) - np.log(total)
         dh = None
         if back is not None:
-            e /= total[:, None]
+            e *= (1 / total)[:, None]
             e[rows, own] -= 1
             back["wc"] += h.T @ e
-            back["bc"] += e.sum(0)
+            back["bc"] += np.ones(len(e), e.dtype) @ e
             dh = e @ p["wc"].T
-        order = np.argsort(own, kind="stable")
+        # rows of one class stand together, so that classes are slices
+        order = np.argsort(own.astype(np.int16), kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.bounds)))
+        sorted_h, place = h[order], (target - self.bounds[own])[order]
+        chosen, totals = np.empty(len(order), h.dtype), np.empty(len(order), h.dtype)
+        d_sorted = None if back is None else np.empty_like(sorted_h)
         for c in np.flatnonzero(np.diff(cuts)).tolist():
-            mine, a, b = order[cuts[c] : cuts[c + 1]], self.bounds[c], self.bounds[c + 1]
-            hs, place = h[mine], target[mine] - a
-            e = hs @ p["wo"][a:b].T + p["bo"][a:b]
-            k = np.arange(len(mine))
-            total = exponentials(e)
-            out[mine] += np.log(e[k, place]) - np.log(total)
+            low, high, a, b = cuts[c], cuts[c + 1], self.bounds[c], self.bounds[c + 1]
+            hs, words = sorted_h[low:high], p["wo"][a:b]
+            e = hs @ words.T
+            e += p["bo"][a:b]
+            k, at = rows[: high - low], place[low:high]
+            totals[low:high] = total = exponentials(e)
+            chosen[low:high] = e[k, at]
             if back is not None:
-                e /= total[:, None]
-                e[k, place] -= 1
+                e *= (1 / total)[:, None]
+                e[k, at] -= 1
                 back["wo"][a:b] += e.T @ hs
-                back["bo"][a:b] += e.sum(0)
-                dh[mine] += e @ p["wo"][a:b]
+                back["bo"][a:b] += np.ones(high - low, e.dtype) @ e
+                d_sorted[low:high] = e @ words
+        out[order] += np.log(chosen) - np.log(totals)
+        if back is not None:
+            dh[order] += d_sorted
         return out, dh
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
@@ -135,8 +148,14 @@ class Trainer:
 
     def __init__(self, model: Gru, rate: float = 0.01):
         self.model, self.rate, self.t = model, rate, 0
-        self.m = {k: np.zeros_like(x) for k, x in model.p.items()}
-        self.v = {k: np.zeros_like(x) for k, x in model.p.items()}
+        # parameters, gradients and moments are one array each, of which the named ones are views
+        self.flat = np.concatenate([x.ravel() for x in model.p.values()])
+        self.grad, self.m, self.v, self.spare = (np.zeros_like(self.flat) for _ in range(4))
+        self.grads, at = {}, 0
+        for k, x in model.p.items():
+            model.p[k] = self.flat[at : at + x.size].reshape(x.shape)
+            self.grads[k] = self.grad[at : at + x.size].reshape(x.shape)
+            at += x.size
 
     def train(self, documents: list[np.ndarray]) -> int:
         """One pass over whole documents, strung together and cut into streams; a start token clears the state. Gives the number of tokens."""
@@ -159,35 +178,43 @@ class Trainer:
     def window(self, tokens: np.ndarray, target: np.ndarray, used: np.ndarray, h: np.ndarray) -> np.ndarray:
         p, steps = self.model.p, len(tokens)
         gates = (p["embed"] @ p["wx"] + p["bx"])[tokens] if tokens.size * 3 > len(p["embed"]) else p["embed"][tokens] @ p["wx"] + p["bx"]
-        kept, states = [], np.empty((*tokens.shape, HIDDEN), np.float32)
+        shape, kind = (*tokens.shape, HIDDEN), h.dtype
+        states, before, z, r, c, hn = (np.empty(shape, kind) for _ in range(6))
+        goes_on = (tokens != 0).astype(kind)[:, :, None]
         for t in range(steps):
-            before = h * (tokens[t] != 0)[:, None]
-            h, *rest = self.model.step(gates[t], before)
-            kept.append((before, *rest))
+            np.multiply(h, goes_on[t], out=before[t])
+            h, z[t], r[t], c[t], hn[t] = self.model.step(gates[t], before[t])
             states[t] = h
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
-        n = int(used.sum())
+        grads, n = self.grads, int(used.sum())
+        self.grad[:] = 0
         if not n:
             return h
-        _, dh_out = self.model.output(states[used], target[used], grads)
         d_states = np.zeros_like(states)
-        d_states[used] = dh_out
-        d_gates, dh = np.empty((*tokens.shape, 3 * HIDDEN), np.float32), np.zeros_like(h)
+        if n == used.size:
+            d_states = self.model.output(states.reshape(-1, HIDDEN), target.ravel(), grads)[1].reshape(shape)
+        else:
+            _, d_states[used] = self.model.output(states[used], target[used], grads)
+        # what the gates' gradients are multiples of, for all steps at once
+        of_c = (1 - z) * (1 - c * c)
+        of_z = (before - c) * z * (1 - z)
+        of_r = hn * r * (1 - r)
+        d_gates, dc_all, dh = np.empty((*tokens.shape, 3 * HIDDEN), kind), np.empty(shape, kind), np.zeros_like(h)
+        back = p["wh"].T.copy()
         for t in range(steps - 1, -1, -1):
-            before, z, r, c, hn = kept[t]
-            dh = dh + d_states[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            own = d_gates[t]
-            own[:, :HIDDEN] = dh * (before - c) * z * (1 - z)
-            own[:, HIDDEN : 2 * HIDDEN] = dc * hn * r * (1 - r)
-            own[:, 2 * HIDDEN :] = dc * r
-            grads["wh"] += before.T @ own
-            dh = (dh * z + own @ p["wh"].T) * (tokens[t] != 0)[:, None]
-            own[:, 2 * HIDDEN :] = dc
+            dh += d_states[t]
+            dc, own = np.multiply(dh, of_c[t], out=dc_all[t]), d_gates[t]
+            np.multiply(dh, of_z[t], out=own[:, :HIDDEN])
+            np.multiply(dc, of_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(dc, r[t], out=own[:, 2 * HIDDEN :])
+            dh *= z[t]
+            dh += own @ back
+            dh *= goes_on[t]
+        grads["wh"] += before.reshape(-1, HIDDEN).T @ d_gates.reshape(-1, 3 * HIDDEN)
+        d_gates[:, :, 2 * HIDDEN :] = dc_all
         flat, ids = d_gates.reshape(-1, 3 * HIDDEN), tokens.ravel()
         grads["bx"] += flat.sum(0)
         grads["wx"] += p["embed"][ids].T @ flat
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids.astype(np.uint16) if len(p["embed"]) < 1 << 16 else ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         grads["embed"][ids[order][first]] = np.add.reduceat((flat @ p["wx"].T)[order], first, axis=0)
         self._adam(grads, n)
@@ -195,16 +222,22 @@ class Trainer:
 
     def _adam(self, grads: dict[str, np.ndarray], n: int) -> None:
         self.t += 1
+        g, spare = self.grad, self.spare
         scale = 1.0 / n
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) * scale
+        norm = np.sqrt(float(np.dot(g, g))) * scale
         if norm > 1:
             scale /= norm
         rate = self.rate * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
-        for k, g in grads.items():
-            g *= scale
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.001 * (g * g - self.v[k])
-            self.model.p[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
+        g *= scale
+        self.m *= 0.9
+        self.m += np.multiply(g, 0.1, out=spare)
+        self.v *= 0.999
+        self.v += np.multiply(np.multiply(g, g, out=spare), 0.001, out=spare)
+        np.sqrt(self.v, out=spare)
+        spare += 1e-8
+        np.divide(self.m, spare, out=spare)
+        spare *= rate
+        self.flat -= spare
 
 
 def groups(documents: Iterator[np.ndarray], most: int = 400_000) -> Iterator[list[np.ndarray]]:

@@ -1,9 +1,13 @@
 """Language-model scoring of whole documents by a gated recurrent network (see ``gru``).
 
-Words are counted over all training documents. The network's vocabulary is the ``VOCABULARY`` most frequent words; every other word
-is scored as the network's out-of-vocabulary token times its smoothed share among the training words out of the vocabulary, so
-that each text has a probability. Training goes over all training documents once, in ``ROUNDS`` parts: in each part every task
-trains a copy of the network on its own documents, and the copies are averaged by their numbers of tokens.
+Words are counted over all training documents. The network's vocabulary is the ``VOCABULARY`` most frequent words and, for all others,
+one token for each doubling of their count, and one for the rarest and unknown words; a word of such a token is scored as the token
+times its smoothed share of the token's words, so that each text has a probability. These tokens grow in number with the counts.
+
+Texts are looked up once; training and scoring read the tokens. Training goes over all training documents once, in ``ROUNDS`` parts:
+in each part copies of the network are trained, each on the documents of one shard, and averaged by their numbers of tokens. A
+document's shard and its place in it come from its id, and the number of shards from the number of tokens, so that the model does not
+depend on how files are cut.
 
 Counts of words have no bound: those of the ``HEAD`` most frequent words, a fixed number, are sent to every task; the others'
 come by a join on the word.
@@ -18,6 +22,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -33,8 +39,10 @@ VOCABULARY, HEAD, ROUNDS = 4094, 200_000, 2
 COUNTED = 400_000
 #: Values in one piece of a network's parameters on their way to the average.
 PIECE = 16_384
+#: Training tokens of a shard, about, and tokens that a task scores at once.
+SHARD, SCORED_AT_ONCE = 1_000_000, 4_000_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, head_log double, network double, tail array<struct<word:binary,n:long>>"
+TOKENS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, head_log double, own_log double, tail array<struct<word:binary,n:long>>, tokens binary"
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -73,8 +81,18 @@ class Lexicon:
         self.words, self.counts = words, np.array(counts, np.float64)
         self.tokens, self.distinct, self.documents = tokens, distinct, documents
         self.inside = min(vocabulary, len(words))
-        self.outside = tokens - documents - float(self.counts[: self.inside].sum())
-        self.outside_words = max(0, distinct - (documents > 0) - self.inside)
+        # token 1: words beyond the head; then one for each doubling of the counts of head words out of the vocabulary
+        rest = self.counts[self.inside :]
+        steps = np.log2(rest).astype(np.int64)
+        highest = int(steps[0]) if len(steps) else 0
+        lowest = int(steps[-1]) if len(steps) else 1
+        self.steps = max(0, highest - lowest + 1)
+        self.token_of = np.concatenate([np.arange(self.inside) + 2 + self.steps, highest - steps + 2]).astype(np.uint16)
+        sums = np.bincount(highest - steps, weights=rest + 0.5, minlength=self.steps) if len(rest) else np.zeros(0)
+        self.own_log = np.concatenate([np.zeros(self.inside), np.log10(rest + 0.5) - np.log10(sums[highest - steps])]) if len(rest) else np.zeros(self.inside)
+        self.step_counts = np.bincount(highest - steps, weights=rest, minlength=self.steps) if len(rest) else np.zeros(0)
+        self.outside = tokens - documents - float(self.counts.sum())
+        self.outside_words = max(0, distinct - (documents > 0) - len(words))
         self.base_log = math.log10(tokens + 0.5 * (distinct + 1))
         self.outside_log = math.log10(self.outside + 0.5 * (self.outside_words + 1))
         self._index: Words | None = None
@@ -88,10 +106,10 @@ class Lexicon:
         return np.fromiter(map(self._index.__getitem__, words), np.int32, len(words))
 
     def model_tokens(self, places: np.ndarray) -> np.ndarray:
-        return np.where((places >= 0) & (places < self.inside), places + 2, 1).astype(np.int32)
+        return np.where(places >= 0, np.append(self.token_of, np.uint16(1))[places], np.uint16(1))
 
     def model_counts(self) -> np.ndarray:
-        return np.concatenate([[self.documents, self.outside], self.counts[: self.inside]])
+        return np.concatenate([[self.documents, self.outside], self.step_counts, self.counts[: self.inside]])
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
@@ -112,85 +130,122 @@ def lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon([w for w, _ in top], [n for _, n in top], int(total[0] or 0), int(total[1] or 0), int(total[2] or 0))
 
 
+def tokenised(docs: DataFrame, words: Lexicon) -> DataFrame:
+    """docs (doc_id, text, held_out) -> a written table of each document's tokens (TOKENS), its sums of logarithms, and its words beyond the head."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        lex = shared.value
+        head_log, row = np.log10(lex.counts + 0.5), TaskContext.get().partitionId() << 40
+        end_log, known_end = math.log10(lex.documents + 0.5), int(lex.documents > 0)
+        for batch in slices(batches, 1, rows=4096):
+            n_tokens, n_known, head, tail, tokens = [], [], [], [], []
+            for data in raw(batch.column(1)):
+                own = words_of(data)
+                places = lex.places(own)
+                missing = np.flatnonzero(places < 0)
+                inside = places[places >= 0] if len(missing) else places
+                n_tokens.append(len(own) + 1)
+                n_known.append(len(inside) + known_end)
+                # sums for the base score, and of the shares of words that have no token of their own; the rest comes by the join
+                head.append((head_log[inside].sum() + end_log, lex.own_log[inside].sum() - len(missing) * lex.outside_log))
+                tail.append([{"word": w, "n": n} for w, n in Counter([own[i] for i in missing.tolist()]).items()])
+                tokens.append(lex.model_tokens(places).tobytes())
+            head_base = np.array([x for x, _ in head]) - np.array(n_tokens) * lex.base_log
+            rows = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows), batch.column(0), batch.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(head_base), pa.array([x for _, x in head]),
+                pa.array(tail, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))), pa.array(tokens, pa.binary())], ["row", "doc_id", "held_out", "n_tokens", "n_known", "head_log", "own_log", "tail", "tokens"])
+
+    return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out").mapInArrow(run, TOKENS), "tokens")
+
+
 def averaged(pieces: DataFrame) -> np.ndarray | None:
-    """pieces (piece, salt, weight, value) -> the weighted average of the tasks' parameters, summed in two steps so that no task gets all copies."""
+    """pieces (piece, salt, shard, weight, value) -> the weighted average of the shards' parameters, summed in two steps so that no task gets all copies."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("shard")  # one order of addition
         total = np.sum([np.frombuffer(x, np.float64) for x in rows["value"]], axis=0)
-        return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "weight": [rows["weight"].sum()], "value": [total.tobytes()]})
+        return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "shard": [rows["shard"].iloc[0]], "weight": [rows["weight"].sum()], "value": [total.tobytes()]})
 
-    schema = "piece int, weight double, value binary"
+    schema = "piece int, shard int, weight double, value binary"
     summed = pieces.groupBy("piece", "salt").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema).collect()
     if not summed:
         return None
     return np.concatenate([np.frombuffer(x["value"], np.float64) / x["weight"] for x in sorted(summed, key=lambda x: x["piece"])])
 
 
-def train(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Gru:
-    """texts: columns text and part (0 to rounds - 1)."""
-    sc, model = texts.sparkSession.sparkContext, Gru(words.model_counts())
-    shared_words = sc.broadcast(words)
+def train(tokens: DataFrame, words: Lexicon, rounds: int = ROUNDS, shard: int | None = None) -> Gru:
+    """tokens: columns doc_id and tokens of the training documents. ``shard``: tokens of a shard, about."""
+    sc, model = tokens.sparkSession.sparkContext, Gru(words.model_counts())
+    shards = max(1, -(-words.tokens // (rounds * (shard or SHARD))))
+    hashed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    turn = F.pmod(hashed, F.lit(rounds * shards))
+    dealt = tokens.select(F.pmod(turn, F.lit(rounds)).alias("part"), F.floor(turn / rounds).cast("int").alias("shard"), hashed.alias("order"), "tokens")
     for part in range(rounds):
         shared = sc.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            own = Gru(np.ones(len(shared.value.class_of)))
-            own.__dict__.update(bounds=shared.value.bounds, class_of=shared.value.class_of, p={k: x.copy() for k, x in shared.value.p.items()})
-            trainer, lex = Trainer(own), shared_words.value
-            documents = (lex.model_tokens(lex.places(words_of(x))) for batch in slices(batches, 0) for x in raw(batch.column(0)))
-            n = sum(trainer.train(some) for some in groups(documents))
-            if n:
-                flat, salt = own.flat().astype(np.float64) * n, TaskContext.get().partitionId() % 64
+            def copy() -> Trainer:
+                own = Gru(np.ones(len(shared.value.class_of)))
+                own.__dict__.update(bounds=shared.value.bounds, class_of=shared.value.class_of, p={k: x.copy() for k, x in shared.value.p.items()})
+                return Trainer(own)
+
+            def pieces(number: int, trainer: Trainer, n: int) -> pa.RecordBatch:
+                flat = trainer.model.flat().astype(np.float64) * n
                 cut = [flat[i : i + PIECE] for i in range(0, len(flat), PIECE)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([salt] * len(cut), pa.int32()), pa.array([float(n)] * len(cut)), pa.array([x.tobytes() for x in cut], pa.binary())], ["piece", "salt", "weight", "value"])
+                return pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([number % 64] * len(cut), pa.int32()), pa.array([number] * len(cut), pa.int32()), pa.array([float(n)] * len(cut)), pa.array([x.tobytes() for x in cut], pa.binary())], ["piece", "salt", "shard", "weight", "value"])
+
+            documents = ((number, np.frombuffer(x, np.uint16).astype(np.int32)) for batch in batches for number, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            for number, own in groupby(documents, key=itemgetter(0)):
+                trainer = copy()
+                n = sum(trainer.train(some) for some in groups(x for _, x in own))
+                if n:
+                    yield pieces(number, trainer, n)
 
-        flat = averaged(texts.where(F.col("part") == part).select("text").mapInArrow(run, "piece int, salt int, weight double, value binary"))
+        own = dealt.where(F.col("part") == part).repartition(shards, "shard").sortWithinPartitions("shard", "order", "tokens").select("shard", "tokens")
+        flat = averaged(own.mapInArrow(run, "piece int, salt int, shard int, weight double, value binary"))
         if flat is not None:
             model.load(flat)
     return model
 
 
-def score(docs: DataFrame, model: Gru, words: Lexicon, counts: DataFrame) -> DataFrame:
-    """docs (doc_id, text, held_out) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model, words))
+def score(tokens: DataFrame, model: Gru, words: Lexicon, counts: DataFrame) -> DataFrame:
+    """tokens (``tokenised``) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    shared = tokens.sparkSession.sparkContext.broadcast(model)
+    passed = ["row", "doc_id", "held_out", "n_tokens", "n_known", "head_log"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        network, lex = shared.value
-        head_log, row = np.log10(lex.counts + 0.5), TaskContext.get().partitionId() << 40
-        end_log, known_end = math.log10(lex.documents + 0.5), int(lex.documents > 0)
-        for batch in slices(batches, 1, rows=4096, most=16 << 20):
-            n_tokens, n_known, head, tail, tokens = [], [], [], [], []
-            for data in raw(batch.column(1)):
-                own = words_of(data)
-                places = lex.places(own)
-                inside = places[places >= 0]
-                n_tokens.append(len(own) + 1)
-                n_known.append(len(inside) + known_end)
-                # sums for the base score and for words that the network lacks: head counts here, the others by the join
-                head.append((head_log[inside].sum() + end_log, head_log[inside[inside >= lex.inside]].sum(), int((places < 0).sum() + (inside >= lex.inside).sum())))
-                missing = Counter([own[i] for i in np.flatnonzero(places < 0).tolist()])
-                tail.append([{"word": w, "n": n} for w, n in missing.items()])
-                tokens.append(lex.model_tokens(places))
-            logs = network.score(tokens) / math.log(10)
-            head_base = np.array([x for x, _, _ in head]) - np.array(n_tokens) * lex.base_log
-            logs += np.array([x - n * lex.outside_log for _, x, n in head])
-            rows = np.arange(row, row + batch.num_rows)
-            row += batch.num_rows
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows), batch.column(0), batch.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(head_base), pa.array(logs),
-                pa.array(tail, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))], ["row", "doc_id", "held_out", "n_tokens", "n_known", "head_log", "network", "tail"])
-
-    scored = written(docs.select("doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
-    rest = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(counts.select("word", F.col("n").alias("c")), "word", "left")
+        held: list[pa.RecordBatch] = []
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            documents = [np.frombuffer(x, np.uint16) for batch in held for x in batch.column(7).to_pylist()]
+            logs, at = shared.value.score(documents) / math.log(10), 0
+            for batch in held:
+                own = logs[at : at + batch.num_rows] + batch.column(6).to_numpy()
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(own)], [*passed, "network"])
+
+        size = 0
+        for whole in batches:
+            for batch in slices(iter([whole]), 7, rows=100_000, most=2 * SCORED_AT_ONCE):
+                held.append(batch)
+                size += batch.column(7).nbytes // 2
+                if size > SCORED_AT_ONCE:
+                    yield from scored()
+                    held, size = [], 0
+        if held:
+            yield from scored()
+
+    out = tokens.select(*passed, "own_log", "tokens").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, head_log double, network double")
+    rest = tokens.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(counts.select("word", F.col("n").alias("c")), "word", "left")
     summed = rest.groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("tail_log"), F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("tail_known"))
     more = F.coalesce("tail_log", F.lit(0.0))
-    return scored.drop("tail").join(summed, "row", "left").select(
+    return written(out, "scored").join(summed, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(words.tokens).cast("long").alias("train_tokens"),
         (F.col("head_log") + more).alias("base_score"), (F.col("network") + more).alias("score"))
 
@@ -198,8 +253,7 @@ def score(docs: DataFrame, model: Gru, words: Lexicon, counts: DataFrame) -> Dat
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(ROUNDS)).alias("part")
-    training = docs.where("not held_out").select("text", part)
-    counts = written(word_counts(training), "words")
+    counts = written(word_counts(docs.where("not held_out").select("text")), "words")
     words = lexicon(counts)
-    return score(docs, train(training, words), words, counts)
+    tokens = tokenised(docs, words)
+    return score(tokens, train(tokens.where("not held_out"), words), words, counts)

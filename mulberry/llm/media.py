@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw, slices, table
+from .common import raw, slices, table, written
 
 
 def zigzag() -> np.ndarray:
@@ -432,4 +432,5 @@ def digests(media: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(to_media(table(spark, sf_dir, "documents")))
+    """The files are stored in the shared folder, and all but n_bytes is what is read back from there."""
+    return digests(written(to_media(table(spark, sf_dir, "documents")), "media"))

@@ -159,3 +159,23 @@ def test_odd_documents(odd, none):
     tensor = media.to_tensors(media.to_media(odd.where("doc_id = 1003"))).first()
     assert len(tensor["rgb"]) == tensor["height"] * tensor["width"] * 3
     assert media.digests(media.to_media(none)).count() == 0
+
+
+def test_query(llm, sf_dir):
+    import hashlib
+    import zlib
+
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in llm.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = media.query(llm, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        payload = texts[r["doc_id"]]
+        payload += bytes(-len(payload) % 64 if payload else 64)
+        stored = media.write_jpeg(payload)
+        rgb = media.Jpeg(stored).rgb()
+        means = [float(rgb[:, :, k].astype(float).mean()) for k in range(3)]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(texts[r["doc_id"]]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        size, red, green, blue, crc = r["feature"].split(" ")
+        assert size == f"{rgb.shape[1]}x{rgb.shape[0]}" and crc == f"crc={zlib.crc32(rgb.tobytes()):08x}"
+        assert all(abs(float(x[2:]) - m) < 1e-3 for x, m in zip((red, green, blue), means, strict=True))
