@@ -15,10 +15,10 @@ Candidates come from several independent fingerprints of the set. Here a segment
 distance; 4 groups of 16 segments have, within 11 bits, one group within 2. Every fingerprint is stored in the 17 cells up to one step
 from its own, so that such two share a cell. A pair over 11 bits apart in every fingerprint is missed (see README for the recall).
 Cells travel in bundles that share their first bits, and a task lays out the cells of one bundle; bundles with too many members are
-cut into blocks that meet pair by pair. Pairs of a group of near copies are never all made: each set first names its nearest and its
-least candidate, these are verified and joined, and only candidates of sets that are not joined yet are then verified as well. Of
-these, a bitmap of each set tells at once those that cannot be similar: a bit that one set has and the other lacks is a shingle that
-they don't share.
+cut into blocks that meet pair by pair. A first pass tells which sets have candidates at all. Of these, bitmaps tell at once pairs
+that cannot be similar: a bit that one set has and the other lacks is a shingle that they don't share. Pairs of a group of near copies
+are never all made: each bundle names a spanning forest of its candidates, these are verified and joined, and in a last pass only
+candidates that are not joined yet are verified as well.
 
 Edge cases: a text with fewer words than a shingle is one shingle, one without words (null, empty) has fingerprint zero and is
 linked like any other; repeated rows share a component; null ids are never the smallest unless all are null; an empty table
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import raw, slices, table, written
-from .components import components
+from .components import components, forest
 
 SHINGLE, BITS, SEED = 3, 3, 42
 NEAR_WORDS, NEAR_BITS, SIMILARITY, TABLES = 5, 11, 0.8, 3
@@ -291,10 +291,30 @@ def _laid_out(fps: np.ndarray, key: int, first: int, bits: int) -> Iterator[tupl
                 yield kept(x[ok] + (low + i), y[ok] + (low + j))
 
 
-def candidates(distinct: DataFrame, bits: int = NEAR_BITS, similarity: float | None = None) -> DataFrame:
+def _spanning(x: np.ndarray, y: np.ndarray, distance: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that join what ``label`` tells apart, nearest first, and the labels then: in each round every part takes its nearest pair."""
+    taken = [(x[:0], y[:0], distance[:0])]
+    while True:
+        cross = label[x] != label[y]
+        x, y, distance = x[cross], y[cross], distance[cross]
+        if not len(x):
+            return *(np.concatenate(c) for c in zip(*taken, strict=True)), label
+        best, code = np.full(len(label), 2**62), distance << 32 | np.arange(len(x))
+        np.minimum.at(best, label[x], code)
+        np.minimum.at(best, label[y], code)
+        some = np.unique(best[best < 2**62] & 0xFFFFFFFF)
+        taken.append((x[some], y[some], distance[some]))
+        node, low = forest(label[x[some]], label[y[some]])
+        now = np.arange(len(label))
+        now[node] = low
+        label = now[label]
+
+
+def candidates(distinct: DataFrame, bits: int = NEAR_BITS, similarity: float | None = None, spanning: bool = False) -> DataFrame:
     """distinct (_set, _fps, root, sketch) -> a, b, distance: pairs of sets of which some fingerprint differs in at most ``bits`` (up to 11) bits.
 
-    With a similarity: every pair of sets with different roots whose sketches allow it, perhaps more than once. Else for each set a, in each bundle, the nearest
+    With a similarity: every pair of sets with different roots whose sketches allow it, perhaps more than once; of these, if
+    ``spanning``, only a spanning forest in each bundle. Else for each set a, in each bundle, the nearest
     such b and the least: every set with a candidate is in some row, and rows grow with the sets, not with their pairs.
     """
     if not 0 <= bits <= 11:
@@ -308,7 +328,7 @@ def candidates(distinct: DataFrame, bits: int = NEAR_BITS, similarity: float | N
         ids, fps, roots, side = ids[order], fps[order], roots[order], side[order]
         if similarity is not None:
             sketches = np.concatenate([np.frombuffer(p[4], np.int64) for p in parts]).reshape(-1, SKETCH)[order]
-        nearest, least = np.full(len(ids), 2**62), np.arange(len(ids))
+        nearest, least, label = np.full(len(ids), 2**62), np.arange(len(ids)), np.arange(len(ids))
         for x, y, distance in _laid_out(fps, key, first, bits):
             ok = roots[x] != roots[y]
             if split:
@@ -317,6 +337,8 @@ def candidates(distinct: DataFrame, bits: int = NEAR_BITS, similarity: float | N
             if similarity is not None and len(x):
                 ok = may_be_similar(sketches[x], sketches[y], similarity)
                 x, y, distance = x[ok], y[ok], distance[ok]
+                if spanning:
+                    x, y, distance, label = _spanning(x, y, distance, label)
                 a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
             elif len(x):
@@ -373,18 +395,16 @@ def _sketched(sets: DataFrame) -> DataFrame:
 
 
 def near_links(docs: DataFrame, distinct: DataFrame, text_col: str = "text", words_each: int = NEAR_WORDS, bits: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: each set's nearest and
-    least candidates are verified first, then every candidate that these don't connect yet."""
-    alone = candidates(distinct.withColumn("root", F.col("_set")).withColumn("sketch", F.lit(None).cast("binary")), bits)
-    chosen = alone.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("near"), F.min(F.when(F.col("distance") == 64, F.col("b"))).alias("least"))
-    chosen = written(chosen.select("a", F.explode(F.array_distinct(F.array("near.b", F.coalesce("least", "near.b")))).alias("b")), "chosen")
-    chosen = written(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    needed = written(chosen.select(F.explode(F.array("a", "b")).alias("_set")).distinct(), "needed")
+    """Verified links of the distinct sets (_set, _fps), with the components that all similar candidates give: a spanning forest of
+    the candidates is verified first, then every candidate that its links don't connect."""
+    some = candidates(distinct.withColumn("root", F.col("_set")).withColumn("sketch", F.lit(None).cast("binary")), bits)
+    needed = written(some.select(F.explode(F.array("a", "b")).alias("_set")).distinct(), "needed")
     sets = written(_sets(docs.select(text_col), text_col, words_each, "_hashes").select("_set", "_hashes").join(needed, "_set", "left_semi").groupBy("_set").agg(F.first("_hashes").alias("_hashes")), "sets")
-    links = written(similar(chosen, sets, similarity), "near")
-    root = components(links).withColumnRenamed("node", "_set")
-    left = _sketched(sets).join(distinct, "_set").join(root, "_set", "left").select("_set", "_fps", F.coalesce("root", "_set").alias("root"), "sketch")
-    rest = candidates(written(left, "left"), bits, similarity).select("a", "b").distinct()
+    left = written(_sketched(sets).join(distinct, "_set").select("_set", "_fps", F.col("_set").alias("root"), "sketch"), "left")
+    links = written(similar(written(candidates(left, bits, similarity, spanning=True).select("a", "b").distinct(), "spanning"), sets, similarity), "near")
+    root = components(links).select(F.col("node").alias("_set"), F.col("root").alias("_root"))
+    left = left.join(root, "_set", "left").select("_set", "_fps", F.coalesce("_root", "root").alias("root"), "sketch")
+    rest = candidates(written(left, "rooted"), bits, similarity).select("a", "b").distinct()
     return written(links.unionByName(similar(rest, sets, similarity)), "links")
 
 

@@ -111,6 +111,8 @@ def test_candidates_against_all_pairs(llm, monkeypatch, members):
     assert {(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8).collect()} == expected
     some = [tuple(sorted((r["a"], r["b"]))) for r in simhash.candidates(distinct).collect()]
     assert set(some) <= expected and {i for pair in some for i in pair} == {i for pair in expected for i in pair}
+    span = {(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8, spanning=True).collect()}
+    assert span <= expected and components(len(fps), span) == components(len(fps), expected)
     joined = distinct.selectExpr("_set", "_fps", "_set div 8 as root", "sketch")
     assert {(r["a"], r["b"]) for r in simhash.candidates(joined, similarity=0.8).collect()} == {(a, b) for a, b in expected if a // 8 != b // 8}
 
@@ -137,6 +139,8 @@ def test_candidates_in_long_runs(llm, monkeypatch):
     distinct = llm.createDataFrame([(i, x, i, bytearray(8 * simhash.SKETCH)) for i, x in enumerate(fps)], "_set long, _fps array<long>, root long, sketch binary")
     pairs = [(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8).collect()]
     assert len(pairs) == len(set(pairs))  # one fingerprint finds a pair once
+    span = [(r["a"], r["b"]) for r in simhash.candidates(distinct, similarity=0.8, spanning=True).collect()]
+    assert components(900, span) == components(900, pairs) and len(span) < 900 * 40 < len(pairs)
     assert set(pairs) == {(j, i) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if (x[0] ^ y[0]).bit_count() <= 11}
 
 
