@@ -24,11 +24,16 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def exponentials(e: np.ndarray) -> np.ndarray:
-    """exp(e) in place and its sums over rows; logits are held within single precision's range."""
-    np.exp(np.clip(e, -80, 80, out=e), out=e)
+    """exp(e) in place and its sums over rows."""
+    np.exp(e, out=e)
     return e @ np.ones(e.shape[1], e.dtype)
 
 
+def limited(e: np.ndarray) -> np.ndarray:
+    """Logits held within what single precision's exponential can give, in place."""
+    return np.minimum(e, 80, out=e)
+
+
 def class_bounds(counts: np.ndarray) -> np.ndarray:
     """First token of each class, and the end."""
     weight = np.cumsum(np.sqrt(counts + 1.0))
@@ -76,9 +81,11 @@ class Gru:
         """Natural log probabilities of the targets; with ``back``, adds gradients there and returns that of ``h``."""
         p, rows = self.p, np.arange(len(target))
         own = self.class_of[target]
-        e = h @ p["wc"] + p["bc"]
+        e = h @ p["wc"]
+        e += p["bc"]
+        out = limited(e)[rows, own]
         total = exponentials(e)
-        out = np.log(e[rows, own]) - np.log(total)
+        out = out - np.log(total)
         dh = None
         if back is not None:
             e *= (1 / total)[:, None]
@@ -98,15 +105,15 @@ class Gru:
             e = hs @ words.T
             e += p["bo"][a:b]
             k, at = rows[: high - low], place[low:high]
+            chosen[low:high] = limited(e)[k, at]
             totals[low:high] = total = exponentials(e)
-            chosen[low:high] = e[k, at]
             if back is not None:
                 e *= (1 / total)[:, None]
                 e[k, at] -= 1
                 back["wo"][a:b] += e.T @ hs
                 back["bo"][a:b] += np.ones(high - low, e.dtype) @ e
                 d_sorted[low:high] = e @ words
-        out[order] += np.log(chosen) - np.log(totals)
+        out[order] += chosen - np.log(totals)
         if back is not None:
             dh[order] += d_sorted
         return out, dh
@@ -120,7 +127,7 @@ class Gru:
         h, at = np.zeros((len(documents), HIDDEN), np.float32), 0
         while at < length[0]:
             active = int(np.searchsorted(-length, -at, side="left"))
-            steps = int(min(max(16, 40_000 // active), 512, length[0] - at))
+            steps = int(min(max(32, 40_000 // active), 512, length[0] - at))
             tokens = np.zeros((steps + 1, active), np.int32)
             for k in range(active):
                 x = documents[order[k]]
@@ -130,8 +137,7 @@ class Gru:
             alive = (at + np.arange(steps))[:, None] < length[None, :active]
             states = np.empty((steps, active, HIDDEN), np.float32)
             h = h[:active]
-            for t in range(steps):
-                k = int(alive[t].sum())
+            for t, k in enumerate(alive.sum(1).tolist()):
                 h[:k] = self.step(gates[tokens[t, :k]], h[:k])[0]
                 states[t] = h
             where = np.nonzero(alive)
