@@ -25,8 +25,8 @@ def pieces(text: str) -> list[str]:
 class PieceStore:
     """Ids of pieces as little-endian unsigned 32-bit integers, encoded by ``encode`` in bulk, where new."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
-        self.encode, self.known = encode, {}
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], kept: int = KEPT):
+        self.encode, self.kept, self.known = encode, kept, {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text."""
@@ -36,7 +36,7 @@ class PieceStore:
         for parts in cut:
             new.update(parts)
         new.difference_update(self.known)
-        if len(self.known) + len(new) > KEPT:
+        if len(self.known) + len(new) > self.kept:
             now = {p for parts in cut for p in parts}
             self.known = {p: self.known[p] for p in now if p in self.known}  # those in use stay
         fresh = list(new)

@@ -36,6 +36,8 @@ from .common import fresh_path, slices, table
 MAGIC, VERSION, BLOCK, END = b"MBPK", 1, 4096, 0
 #: The letter that stands for a space in byte-level vocabularies (a fixed value), and pieces encoded at once.
 SPACE, JOINED = "\u0120", 128
+#: Pieces kept in memory by a worker, some 200 bytes each.
+KEPT = 600_000
 _HEAD = struct.Struct("<4sIIIQQQ")
 SHARDS = "path string, part int, n_ids long, n_docs long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -153,7 +155,7 @@ def library_store(tokenizer_file: str) -> PieceStore:
             for a in alone:
                 yield next(single if a else many)
 
-        _stores[tokenizer_file] = PieceStore(encode)
+        _stores[tokenizer_file] = PieceStore(encode, KEPT)
     return _stores[tokenizer_file]
 
 
