@@ -14,11 +14,15 @@ import numpy as np
 EMBED, HIDDEN, CLASSES = 16, 24, 64
 #: Streams trained side by side, and steps that gradients are carried back.
 LANES, STEPS = 128, 32
+#: Documents whose states are made at once in scoring: what fits a core's cache.
+AT_ONCE = 2048
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place; where the exponential overflows to infinity, the reciprocal is the right 0."""
     np.negative(x, out=x)
-    np.exp(np.minimum(x, 60, out=x), out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -29,9 +33,9 @@ def exponentials(e: np.ndarray) -> np.ndarray:
     return e @ np.ones(e.shape[1], e.dtype)
 
 
-def limited(e: np.ndarray) -> np.ndarray:
-    """Logits held within what single precision's exponential can give, in place."""
-    return np.minimum(e, 80, out=e)
+def steep(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether logits of states, which lie between -1 and 1, may pass what single precision's exponential can give (weights: one row an output)."""
+    return bool((np.abs(weights).sum(1) + bias).max() > 80)
 
 
 def class_bounds(counts: np.ndarray) -> np.ndarray:
@@ -81,11 +85,17 @@ class Gru:
         """Natural log probabilities of the targets; with ``back``, adds gradients there and returns that of ``h``."""
         p, rows = self.p, np.arange(len(target))
         own = self.class_of[target]
+        # rows of one class stand together, so that classes are slices
+        order = np.argsort(own.astype(np.int16), kind="stable")
+        own, h = own[order], h.take(order, axis=0)
+        cuts, place = np.searchsorted(own, np.arange(len(self.bounds))), target[order] - self.bounds[own]
         e = h @ p["wc"]
         e += p["bc"]
-        out = limited(e)[rows, own]
+        if steep(p["wc"].T, p["bc"]):
+            np.minimum(e, 80, out=e)
+        chosen = e[rows, own]
         total = exponentials(e)
-        out = out - np.log(total)
+        logs = chosen - np.log(total)
         dh = None
         if back is not None:
             e *= (1 / total)[:, None]
@@ -93,30 +103,30 @@ class Gru:
             back["wc"] += h.T @ e
             back["bc"] += np.ones(len(e), e.dtype) @ e
             dh = e @ p["wc"].T
-        # rows of one class stand together, so that classes are slices
-        order = np.argsort(own.astype(np.int16), kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(len(self.bounds)))
-        sorted_h, place = h[order], (target - self.bounds[own])[order]
-        chosen, totals = np.empty(len(order), h.dtype), np.empty(len(order), h.dtype)
-        d_sorted = None if back is None else np.empty_like(sorted_h)
+        totals, capped = np.empty_like(logs), steep(p["wo"], p["bo"])
         for c in np.flatnonzero(np.diff(cuts)).tolist():
             low, high, a, b = cuts[c], cuts[c + 1], self.bounds[c], self.bounds[c + 1]
-            hs, words = sorted_h[low:high], p["wo"][a:b]
+            hs, words = h[low:high], p["wo"][a:b]
             e = hs @ words.T
             e += p["bo"][a:b]
+            if capped:
+                np.minimum(e, 80, out=e)
             k, at = rows[: high - low], place[low:high]
-            chosen[low:high] = limited(e)[k, at]
+            chosen[low:high] = e[k, at]
             totals[low:high] = total = exponentials(e)
             if back is not None:
                 e *= (1 / total)[:, None]
                 e[k, at] -= 1
                 back["wo"][a:b] += e.T @ hs
                 back["bo"][a:b] += np.ones(high - low, e.dtype) @ e
-                d_sorted[low:high] = e @ words
-        out[order] += chosen - np.log(totals)
-        if back is not None:
-            dh[order] += d_sorted
-        return out, dh
+                dh[low:high] += e @ words
+        out = np.empty_like(logs)
+        out[order] = logs + (chosen - np.log(totals))
+        if back is None:
+            return out, None
+        d_h = np.empty_like(dh)
+        d_h[order] = dh
+        return out, d_h
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each whole document (tokens without the end, which is scored too)."""
@@ -138,11 +148,13 @@ class Gru:
             states = np.empty((steps, active, HIDDEN), np.float32)
             h = h[:active]
             for t, k in enumerate(alive.sum(1).tolist()):
-                h[:k] = self.step(gates[tokens[t, :k]], h[:k])[0]
+                for low in range(0, k, AT_ONCE):
+                    high = min(low + AT_ONCE, k)
+                    h[low:high] = self.step(gates.take(tokens[t, low:high], axis=0), h[low:high])[0]
                 states[t] = h
-            where = np.nonzero(alive)
-            logs, _ = self.output(states[where], tokens[1:][where])
-            out[:active] += np.bincount(where[1], weights=logs, minlength=active)
+            where = np.flatnonzero(alive)
+            logs, _ = self.output(states.reshape(-1, HIDDEN).take(where, axis=0), tokens[1:].ravel().take(where))
+            out[:active] += np.bincount(where % active, weights=logs, minlength=active)
             at += steps
         result = np.empty(len(documents))
         result[order] = out
