@@ -99,10 +99,26 @@ def engine_of(spark: SparkSession, table: str) -> Engine:
     return Engine(**{k: tuple(v) if isinstance(v, list) else v for k, v in stored.items()})
 
 
-def read(df: DataFrame, engine: Engine) -> DataFrame:
-    """The rows of a table as its engine merges them: newest versions, sums, or pairs that cancel; without what TTL has expired.
+#: Functions of aggregated columns; any value will do for ``any`` and ``anyLast``, so the least is taken, which reruns repeat.
+MERGES = {"sum": F.sum, "min": F.min, "max": F.max, "any": F.min, "anyLast": F.min, "groupBitAnd": F.bit_and, "groupBitOr": F.bit_or, "groupBitXor": F.bit_xor}
+
+
+def merge_function(kind: str) -> str | None:
+    """The function of a type ``SimpleAggregateFunction(f, T)``; None for other types."""
+    m = re.fullmatch(r"\s*SimpleAggregateFunction\s*\((.*)\)\s*", kind, re.S)
+    if not m:
+        return None
+    name = arguments(m[1])[0]
+    if name not in MERGES:
+        raise ValueError(f"no merging by {name}")
+    return name
+
+
+def read(df: DataFrame, engine: Engine, types: dict[str, str] | None = None) -> DataFrame:
+    """The rows of a table as its engine merges them: newest versions, sums, states, or pairs that cancel; without what TTL has expired.
 
     Summing: numeric columns that are not of the key are added up (of all, or those named), others keep their least value.
+    Aggregating: columns whose type in ``types`` is ``SimpleAggregateFunction(f, T)`` are merged by f and keep their type, others keep their least value.
     Collapsing: rows with sign 1 that no row of sign -1 with equal other columns (versions included) cancels.
     """
     if engine.ttl:
@@ -114,6 +130,11 @@ def read(df: DataFrame, engine: Engine) -> DataFrame:
         numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
         added = [c for c in df.columns if c not in key and (c in args if args else c in numeric)]
         return df.groupBy(*key).agg(*[(F.sum(c) if c in added else F.min(c)).alias(c) for c in df.columns if c not in key]).select(*df.columns)
+    if base == "AggregatingMergeTree":
+        own = [(f, MERGES[merge_function((types or {}).get(f.name, "")) or "any"]) for f in df.schema.fields if f.name not in key]
+        if not own:
+            return df.dropDuplicates(key)
+        return df.groupBy(*key).agg(*[merge(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f, merge in own]).select(*df.columns)
     if base in ("CollapsingMergeTree", "VersionedCollapsingMergeTree"):
         sign = args[0]
         rest = [c for c in df.columns if c != sign]
@@ -124,4 +145,5 @@ def read(df: DataFrame, engine: Engine) -> DataFrame:
 
 def table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table, read as its engine says."""
-    return read(spark.table(name), engine_of(spark, name))
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {ident(name)}").collect()}
+    return read(spark.table(name), engine_of(spark, name), json.loads(found.get("engine.types", "{}")))

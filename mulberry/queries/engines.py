@@ -33,6 +33,22 @@ def collapsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged(rows.unionAll(rows.where("o_orderstatus = 'P'").withColumn("sign", F.lit(-1))), Engine("CollapsingMergeTree", order_by=("o_orderkey",), arguments=("sign",)))
 
 
+@query("eng_aggregating", "SELECT l_returnflag, CAST(sum(l_linenumber) AS BIGINT) AS lines, max(l_partkey) AS last_part, min(l_extendedprice) AS cheapest FROM lineitem GROUP BY 1")
+def aggregating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_linenumber").cast("long").alias("lines"), F.col("l_partkey").alias("last_part"), F.col("l_extendedprice").alias("cheapest"))
+    types = {"lines": "SimpleAggregateFunction(sum, Int64)", "last_part": "SimpleAggregateFunction(max, Int64)", "cheapest": "SimpleAggregateFunction(min, Float64)"}
+    return merged(rows, Engine("AggregatingMergeTree", order_by=("l_returnflag",)), types)
+
+
+@query("eng_versioned", "SELECT o_orderkey, o_orderstatus, CAST(1 AS INTEGER) AS sign, CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS INTEGER) AS version FROM orders")
+def versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order in its first version; for those with status P a row that cancels it, and a second version."""
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.lit(1).alias("sign"), F.lit(1).alias("version"))
+    again = rows.where("o_orderstatus = 'P'")
+    rows = rows.unionAll(again.withColumn("sign", F.lit(-1))).unionAll(again.withColumn("version", F.lit(2)))
+    return merged(rows, Engine("VersionedCollapsingMergeTree", order_by=("o_orderkey",), arguments=("sign", "version")))
+
+
 @query("eng_replicated", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1")
 def replicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     engine = parse_engine("ReplicatedReplacingMergeTree('/tables/{shard}/t', '{replica}', event_id) ORDER BY user_id")

@@ -18,6 +18,14 @@ from ..sinks import results, tables
 from .base import query, read
 
 
+@query("sink_compression", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with a codec to the shared folder by the executors, and read back."""
+    path = tables.shared_path(spark, "compressed")
+    results.write_raw(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path, "Parquet", "zstd")
+    return spark.read.parquet(path)
+
+
 def _with_table(spark: SparkSession, described: str, work: Callable[[str], None], engine: Engine | None = None) -> DataFrame:
     """Rows of a table that ``work`` changes; the table goes, its few rows stay in the plan."""
     name = f"t_{uuid.uuid4().hex}"

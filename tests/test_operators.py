@@ -250,6 +250,23 @@ def test_engines(spark):
     assert rows(read(df, Engine("SummingMergeTree", order_by=("k",), arguments=("n",)))) == [(1, 1, 7), (2, -1, 1)]
 
 
+def test_aggregating_engine(spark):
+    name = "test_aggregating_table"
+    ddl.drop_table(spark, name)
+    kinds = "k Int64, total SimpleAggregateFunction(sum, Int32), bits SimpleAggregateFunction(groupBitOr, Int32), s Nullable(String)"
+    create_table(spark, name, kinds, Engine("AggregatingMergeTree", order_by=("k",)))
+    assert rows(table(spark, name)) == []
+    tables.insert(spark, name, [[1, 2, 1, "b"], [1, 3, 4, "a"], [2, None, 8, None], [None, 7, 1, "x"], [None, 1, 1, "x"]])
+    merged = table(spark, name)
+    assert set(rows(merged)) == {(1, 5, 5, "a"), (2, None, 8, None), (None, 8, 1, "x")}
+    assert merged.schema["total"].dataType.simpleString() == "int"
+    ddl.drop_table(spark, name)
+    with pytest.raises(ValueError):
+        read(spark.range(1), Engine("AggregatingMergeTree", order_by=("k",)), {"id": "SimpleAggregateFunction(median, Int64)"})
+    keys = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert rows(read(keys, Engine("AggregatingMergeTree", order_by=("k",)))) == [(1,), (2,)]
+
+
 def test_materialized_view(spark, tmp_path):
     source, target, checkpoint = str(tmp_path / "source"), str(tmp_path / "target"), str(tmp_path / "checkpoint")
     spark.range(5).write.parquet(source)
